@@ -211,7 +211,7 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
     keep = flagged.where(F.col(_UNKNOWN).isNull()).select(*columns)
     fixed = apply_authority(flagged.where(~F.col(_UNKNOWN)), auth, spec, columns)
 
-    obs = Observation("reconcile")
+    obs = Observation()  # unique name: reconciled frames may be reconciled again
     fixed = fixed.withColumn("__uc_fix", F.lit(True))
     keep = keep.withColumn("__uc_fix", F.lit(False))
     both = keep.unionByName(fixed).observe(
