@@ -154,3 +154,16 @@ def test_invariants_on_fixture(spark):
     again = reconcile(clean, auth, SPEC)  # idempotent
     assert again.audit.count() == 0
     assert sorted(map(tuple, again.clean.collect())) == sorted(map(tuple, clean.collect()))
+
+
+def test_observed_residual_equals_full_recheck(spark):
+    from upcheck.operators.reconcile import assert_resolved_metrics
+    up = spark.createDataFrame([(None, "S1", 21, "agA", "n"), ("P1", "S9", 21, "agA", "x"),
+                                ("P2", "S2", 21, "agB", "ok")], UP_SCHEMA)
+    auth = spark.createDataFrame([("P1", "S1", 21, None), ("P2", "S2", 21, "agB")], AUTH_SCHEMA)
+    rec = reconcile(up, auth, SPEC)
+    rows = rec.clean.collect()
+    assert len(rows) == 3
+    assert rec.metrics.get["unresolved_rows"] == residual(rec.clean, auth, SPEC).count() == 2
+    with pytest.raises(UnresolvedConflictError):
+        assert_resolved_metrics(rec)

@@ -25,6 +25,7 @@ from upcheck.operators.reconcile import (
     align_authority,
     apply_authority,
     assert_resolved,
+    assert_resolved_metrics,
     conflict_audit,
     conflict_status,
     exact_mismatches,
@@ -35,7 +36,9 @@ from upcheck.operators.reconcile import (
 from upcheck.operators.validate import (
     TokenRule,
     clean_tokens,
+    flag_tokens,
     invalid_columns,
+    split_flagged,
     quarantine_by_key,
     validate_tokens,
 )
@@ -43,8 +46,8 @@ from upcheck.operators.validate import (
 __all__ = [
     "AUDIT_FLAG_COL", "AUDIT_LIST_COL", "ReconcileSpec", "Reconciled", "SchemaCheck",
     "SchemaMismatchError", "TokenRule", "UnresolvedConflictError", "align_authority",
-    "apply_authority", "assert_resolved", "audit_schema", "check_schema", "clean_tokens",
-    "conflict_audit", "conflict_status", "drop_all_null", "empty_audit", "exact_mismatches",
+    "apply_authority", "assert_resolved", "assert_resolved_metrics", "audit_schema", "check_schema", "clean_tokens",
+    "conflict_audit", "conflict_status", "flag_tokens", "split_flagged", "drop_all_null", "empty_audit", "exact_mismatches",
     "invalid_columns", "lookup_audit", "normalise_columns", "normalised_names",
     "quarantine_by_key", "reconcile", "residual", "schema_report", "summarize_audit",
     "union_audit", "unknown_ids", "validate_tokens",

@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -77,7 +77,7 @@ class Reconciled:
     clean: DataFrame          # upload rows, conflicts replaced, unknown ids dropped
     audit: DataFrame          # one row per conflicting upload row (audit schema)
     unresolved: DataFrame     # rows of ``clean`` that still cannot match (null id, null authority value)
-    metrics: Observation      # replaced_rows, kept_rows (available after an action on ``clean``)
+    metrics: Observation      # rows, replaced_rows, unresolved_rows (after an action on ``clean``)
 
 
 def align_authority(authority: DataFrame, spec: ReconcileSpec,
@@ -189,13 +189,18 @@ def apply_authority(rows: DataFrame, authority: DataFrame, spec: ReconcileSpec,
 
 
 def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
-              on_unresolvable: str = "fail") -> Reconciled:
+              on_unresolvable: str = "fail",
+              stage: Callable[[DataFrame, str], DataFrame] | None = None) -> Reconciled:
     """Compare identity columns with the authority; return clean rows and the audit.
 
     ``on_unresolvable``: ``'fail'`` keeps rows that can never match (null id,
     or an authority row with a null value used for a rebuild) in ``clean`` and
     lists them in ``unresolved`` for :func:`assert_resolved`; ``'quarantine'``
     moves them from ``clean`` into the audit with ``resolved='no'``.
+
+    ``stage(df, name)`` may materialise the two small intermediate tables
+    (conflicting tuples, per-id status) so that the clean rows and the audit,
+    computed by separate actions, share them instead of recomputing them.
     """
     if on_unresolvable not in ("fail", "quarantine"):
         raise ValueError("on_unresolvable must be 'fail' or 'quarantine'")
@@ -204,24 +209,28 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
     columns = list(upload.columns)
     id_col = spec.id_col
 
-    ck = conflict_tuples(upload, auth, keys)
-    status = conflict_status(ck, auth, spec).where(F.col(id_col).isNotNull())
+    stage = stage or (lambda df, name: df)
+    ck = stage(conflict_tuples(upload, auth, keys), "conflict_tuples")
+    status = stage(conflict_status(ck, auth, spec).where(F.col(id_col).isNotNull()), "conflict_status")
 
     flagged = upload.join(status, id_col, "left")
     keep = flagged.where(F.col(_UNKNOWN).isNull()).select(*columns)
     fixed = apply_authority(flagged.where(~F.col(_UNKNOWN)), auth, spec, columns)
 
+    # rows that can never match the authority after the rebuild: a null id
+    # (kept, never known) or a rebuilt row with a null authority value.  Every
+    # other kept row matched exactly already (else its id would conflict).
+    bad = F.col(id_col).isNull() | (F.col("__uc_fix") & reduce(
+        lambda a, b: a | b, [F.col(k).isNull() for k in spec.attr_cols]))
+
     obs = Observation()  # unique name: reconciled frames may be reconciled again
     fixed = fixed.withColumn("__uc_fix", F.lit(True))
     keep = keep.withColumn("__uc_fix", F.lit(False))
     both = keep.unionByName(fixed).observe(
         obs,
-        F.count(F.lit(1)).alias("clean_rows"),
-        F.count(F.when(F.col("__uc_fix"), 1)).alias("replaced_rows"))
-
-    # rows that can never match the authority after the rebuild
-    bad = F.col(id_col).isNull() | (F.col("__uc_fix") & reduce(
-        lambda a, b: a | b, [F.col(k).isNull() for k in spec.attr_cols]))
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(F.col("__uc_fix"), 1)).alias("replaced_rows"),
+        F.count(F.when(bad, 1)).alias("unresolved_rows"))
 
     audit_rows = (flagged.where(F.size(AUDIT_LIST_COL) > 0).alias("u")
                   .join(ck.alias("c"), _null_safe_on("u", "c", keys), "left_semi"))
@@ -250,10 +259,21 @@ def residual(clean: DataFrame, authority: DataFrame, spec: ReconcileSpec) -> Dat
     return exact_mismatches(clean, auth, spec.keys)
 
 
+def _unresolved_error(n: int) -> UnresolvedConflictError:
+    return UnresolvedConflictError(
+        f"{n} row(s) still disagree with the authority after reconciliation "
+        "(null id, or authority rows with null identity values)")
+
+
 def assert_resolved(rec_or_rows: Reconciled | DataFrame) -> None:
+    """Raise if rows cannot match the authority (runs a job on the rows)."""
     rows = rec_or_rows.unresolved if isinstance(rec_or_rows, Reconciled) else rec_or_rows
     if not rows.isEmpty():
-        n = rows.count()
-        raise UnresolvedConflictError(
-            f"{n} row(s) still disagree with the authority after reconciliation "
-            "(null id, or authority rows with null identity values)")
+        raise _unresolved_error(rows.count())
+
+
+def assert_resolved_metrics(rec: Reconciled) -> None:
+    """Raise from the metrics observed while ``rec.clean`` was computed (no extra job)."""
+    n = rec.metrics.get.get("unresolved_rows", 0)
+    if n:
+        raise _unresolved_error(n)

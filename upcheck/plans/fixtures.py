@@ -149,19 +149,24 @@ _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _TO_NUCLEOTIDES = "ACGTRYWSKMBDHVNACGTACGTACG"
 
 
+def _part_strings() -> str:
+    """Per-part sequence strings, built once per part (not per line item)."""
+    names = {"a": "upper(replace(p_name, ' ', ''))", "b": "lower(replace(p_type, ' ', ''))"}
+    cols = []
+    for v, expr in names.items():
+        nu = f"translate(upper({expr}), '{_LETTERS}', '{_TO_NUCLEOTIDES}')"
+        cols += [f"concat(' ', {expr}, ' ') as aa_{v}", f"concat({expr}, '*') as aa_{v}_bad",
+                 f"concat(' ', {nu}, ' ') as nu_{v}", f"concat({nu}, 'U') as nu_{v}_bad"]
+    return "select p_partkey, p_brand, " + ", ".join(cols) + " from {part}"
+
+
 def _sequence_expr(kind: str, j: int) -> str:
-    name = "upper(replace(p_name, ' ', ''))" if j % 2 == 0 else "lower(replace(p_type, ' ', ''))"
-    if kind == "nu":
-        base = f"translate(upper({name}), '{_LETTERS}', '{_TO_NUCLEOTIDES}')"
-        odd = f"when (l_partkey + {3 * j}) % 229 = 0 then concat({base}, 'U')"
-    else:
-        base = name
-        odd = f"when (l_partkey + {3 * j}) % 229 = 0 then concat({base}, '*')"
+    v = "a" if j % 2 == 0 else "b"
     return (f"case when (l_partkey + {j}) % 211 = 0 then null "
             f"when (l_partkey + {2 * j}) % 223 = 0 then '   ' "
             f"when (l_suppkey + {j}) % 227 = 0 then p_brand "
-            f"{odd} "
-            f"else concat(' ', {base}, ' ') end")
+            f"when (l_partkey + {3 * j}) % 229 = 0 then {kind}_{v}_bad "
+            f"else {kind}_{v} end")
 
 
 def _ab_upload_sql() -> str:
@@ -169,6 +174,7 @@ def _ab_upload_sql() -> str:
         f"{_sequence_expr(kind, j)} as {c}"
         for kind in ("aa", "nu") for j, c in enumerate(sequence_columns(kind)))
     return f"""
+with pp as ({_part_strings()})
 select case when o_orderkey % 11 = 0 then concat('X', o_orderkey) else concat('P', o_orderkey) end as mab_id,
        case when (o_orderkey + l_linenumber) % 7 = 0 then concat('Z', o_custkey)
             else concat('S', o_custkey) end as sequence_id,
@@ -176,7 +182,7 @@ select case when o_orderkey % 11 = 0 then concat('X', o_orderkey) else concat('P
        case when o_orderkey % 13 = 0 then null else o_orderpriority end as antigen,
        cast(l_linenumber as string) as line_number,
        {seq}
-from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey join {{part}} on l_partkey = p_partkey
+from {{lineitem}} join {{orders}} on l_orderkey = o_orderkey join pp on l_partkey = p_partkey
 """
 
 

@@ -7,19 +7,25 @@ recomputing the plan that produced it.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame
 
 from upcheck.session import scratch_path
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> str:
-    df.write.mode(mode).format(fmt).save(path)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
+                partition_by: Sequence[str] | None = None) -> str:
+    w = df.write.mode(mode).format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> DataFrame:
     """Write ``df`` below the shared folder and return a DataFrame reading it."""
     spark = df.sparkSession
     path = scratch_path(spark, "materialized", name)
-    write_table(df, path)
+    write_table(df, path, partition_by=partition_by)
     return spark.read.parquet(path)
