@@ -198,9 +198,17 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
     lists them in ``unresolved`` for :func:`assert_resolved`; ``'quarantine'``
     moves them from ``clean`` into the audit with ``resolved='no'``.
 
-    ``stage(df, name)`` may materialise the two small intermediate tables
-    (conflicting tuples, per-id status) so that the clean rows and the audit,
-    computed by separate actions, share them instead of recomputing them.
+    ``stage(df, name)`` may materialise or persist the two small
+    intermediate tables (conflicting tuples, per-id status) so that the clean
+    rows and the audit, when computed by separate actions, share them.
+
+    The clean rows come from one pass over the upload: a left join with the
+    per-id status and a left join with the authority rows of the conflicting
+    known ids, both keyed by id (so the upload is shuffled at most once, and
+    not at all when AQE broadcasts the two small sides).  A row of a
+    non-conflicting id meets no authority row and is kept as it is; a row of
+    a conflicting id meets every authority row of its id and takes their
+    identity values; rows of unknown ids are dropped.
     """
     if on_unresolvable not in ("fail", "quarantine"):
         raise ValueError("on_unresolvable must be 'fail' or 'quarantine'")
@@ -211,11 +219,22 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
 
     stage = stage or (lambda df, name: df)
     ck = stage(conflict_tuples(upload, auth, keys), "conflict_tuples")
-    status = stage(conflict_status(ck, auth, spec).where(F.col(id_col).isNotNull()), "conflict_status")
-
-    flagged = upload.join(status, id_col, "left")
-    keep = flagged.where(F.col(_UNKNOWN).isNull()).select(*columns)
-    fixed = apply_authority(flagged.where(~F.col(_UNKNOWN)), auth, spec, columns)
+    status = stage(conflict_status(ck, auth, spec).where(F.col(id_col).isNotNull()),
+                   "conflict_status")
+
+    fix_ids = status.where(~F.col(_UNKNOWN)).select(id_col)
+    fixes = (auth.join(fix_ids, id_col, "left_semi")
+             .select(id_col, *[F.col(k).alias(f"__uc_a{i}") for i, k in enumerate(spec.attr_cols)])
+             .withColumn("__uc_fix", F.lit(True)))
+    joined = (upload.join(status.select(id_col, _UNKNOWN), id_col, "left")
+              .where(~F.coalesce(F.col(_UNKNOWN), F.lit(False)))
+              .join(fixes, id_col, "left"))
+    fix = F.coalesce(F.col("__uc_fix"), F.lit(False))
+    attr_pos = {k: i for i, k in enumerate(spec.attr_cols)}
+    rows = joined.select(
+        *[F.when(fix, F.col(f"__uc_a{attr_pos[c]}")).otherwise(F.col(c)).alias(c) if c in attr_pos
+          else F.col(c) for c in columns],
+        fix.alias("__uc_fix"))
 
     # rows that can never match the authority after the rebuild: a null id
     # (kept, never known) or a rebuilt row with a null authority value.  Every
@@ -224,16 +243,17 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
         lambda a, b: a | b, [F.col(k).isNull() for k in spec.attr_cols]))
 
     obs = Observation()  # unique name: reconciled frames may be reconciled again
-    fixed = fixed.withColumn("__uc_fix", F.lit(True))
-    keep = keep.withColumn("__uc_fix", F.lit(False))
-    both = keep.unionByName(fixed).observe(
+    both = rows.observe(
         obs,
         F.count(F.lit(1)).alias("rows"),
         F.count(F.when(F.col("__uc_fix"), 1)).alias("replaced_rows"),
         F.count(F.when(bad, 1)).alias("unresolved_rows"))
 
-    audit_rows = (flagged.where(F.size(AUDIT_LIST_COL) > 0).alias("u")
-                  .join(ck.alias("c"), _null_safe_on("u", "c", keys), "left_semi"))
+    # audit: upload rows whose own tuple conflicts, with their id's list
+    listed = status.where(F.size(AUDIT_LIST_COL) > 0).select(id_col, AUDIT_LIST_COL)
+    audit_rows = (upload.select(*keys).alias("u")
+                  .join(ck.alias("c"), _null_safe_on("u", "c", keys), "left_semi")
+                  .join(listed, id_col, "inner"))
     audit = as_audit(audit_rows, keys, F.col(AUDIT_LIST_COL), _resolved_flag(spec))
 
     if on_unresolvable == "quarantine":
