@@ -14,12 +14,14 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from upcheck.plans.presets import sequence_columns
+from upcheck.sources.storage import ensure_parallelism
 
 _PLACEHOLDER = re.compile(r"\{([a-z_]+)\}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table; spread over all cores when its file has few row groups."""
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def tables_of(sql: str) -> list[str]:

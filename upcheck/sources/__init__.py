@@ -7,9 +7,9 @@ from upcheck.sources.csv import (
     write_csv,
 )
 from upcheck.sources.jdbc import jdbc_options, read_jdbc_table, jdbc_target_schema
-from upcheck.sources.storage import materialize, write_table
+from upcheck.sources.storage import ensure_parallelism, materialize, write_table
 
 __all__ = [
-    "QUOTED_EMPTY_MARKER", "jdbc_options", "jdbc_target_schema", "materialize",
+    "QUOTED_EMPTY_MARKER", "ensure_parallelism", "jdbc_options", "jdbc_target_schema", "materialize",
     "read_header", "read_jdbc_table", "read_upload_csv", "write_csv", "write_table",
 ]

@@ -14,6 +14,16 @@ from pyspark.sql import DataFrame
 from upcheck.session import scratch_path
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a frame over at least ``min_partitions`` tasks (default: the
+    cluster's default parallelism) when its source yields fewer, e.g. a
+    single gzipped CSV or a parquet file with one row group.  Large inputs
+    already have many splits and pass through without a shuffle.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 partition_by: Sequence[str] | None = None) -> str:
     w = df.write.mode(mode).format(fmt)
