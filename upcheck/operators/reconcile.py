@@ -135,8 +135,12 @@ def conflict_status(conflicts: DataFrame, authority: DataFrame, spec: ReconcileS
     null id, if present, forms one group.
     """
     entries = _entries(conflicts, spec, with_nullflag=True).distinct()
-    known = (_entries(authority, spec, with_nullflag=False)
-             .where(F.col(spec.id_col).isNotNull() & F.col(_VALUE).isNotNull())
+    # only authority rows of ids that conflict can matter: filter before
+    # unpivoting (a broadcast semi join when the conflict set is small)
+    relevant = authority.join(conflicts.select(spec.id_col).where(F.col(spec.id_col).isNotNull())
+                              .distinct(), spec.id_col, "left_semi")
+    known = (_entries(relevant, spec, with_nullflag=False)
+             .where(F.col(_VALUE).isNotNull())
              .distinct()
              .withColumn(_HIT, F.lit(True)))
     on = [spec.id_col, _CNAME, _VALUE]

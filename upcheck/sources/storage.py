@@ -19,6 +19,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     cluster's default parallelism) when its source yields fewer, e.g. a
     single gzipped CSV or a parquet file with one row group.  Large inputs
     already have many splits and pass through without a shuffle.
+
+    Use it on file scans: counting the partitions of a plan that contains a
+    shuffle would make AQE run that shuffle.
     """
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
