@@ -21,6 +21,7 @@ from upcheck.operators.audit import (
 from upcheck.operators.reconcile import (
     ReconcileSpec,
     Reconciled,
+    SkewPolicy,
     UnresolvedConflictError,
     align_authority,
     apply_authority,
@@ -33,6 +34,7 @@ from upcheck.operators.reconcile import (
     residual,
     unknown_ids,
 )
+from upcheck.operators.skew import hot_keys, skew_join
 from upcheck.operators.validate import (
     TokenRule,
     clean_tokens,
@@ -44,11 +46,11 @@ from upcheck.operators.validate import (
 )
 
 __all__ = [
-    "AUDIT_FLAG_COL", "AUDIT_LIST_COL", "ReconcileSpec", "Reconciled", "SchemaCheck",
+    "AUDIT_FLAG_COL", "AUDIT_LIST_COL", "ReconcileSpec", "Reconciled", "SkewPolicy", "SchemaCheck",
     "SchemaMismatchError", "TokenRule", "UnresolvedConflictError", "align_authority",
     "apply_authority", "assert_resolved", "assert_resolved_metrics", "audit_schema", "check_schema", "clean_tokens",
     "conflict_audit", "conflict_status", "flag_tokens", "split_flagged", "drop_all_null", "empty_audit", "exact_mismatches",
     "invalid_columns", "lookup_audit", "normalise_columns", "normalised_names",
     "quarantine_by_key", "reconcile", "residual", "schema_report", "summarize_audit",
-    "union_audit", "unknown_ids", "validate_tokens",
+    "union_audit", "unknown_ids", "validate_tokens", "hot_keys", "skew_join",
 ]

@@ -34,7 +34,9 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from upcheck.operators.audit import AUDIT_FLAG_COL, AUDIT_LIST_COL, as_audit
+from upcheck.operators.audit import AUDIT_LIST_COL, as_audit
+from upcheck.operators.skew import (MAX_BUCKETS, MAX_HOT_KEYS, MIN_HOT_ROWS, ROWS_PER_BUCKET,
+                                    hot_keys, skew_join)
 
 # internal column names (prefixed so they cannot clash with upload columns)
 _CNAME = "__uc_col"
@@ -45,6 +47,23 @@ _UNKNOWN = "__uc_unknown"
 _FLAG = "__uc_f"
 
 
+@dataclass(frozen=True)
+class SkewPolicy:
+    """When a key counts as hot and how far it is spread (see ``operators.skew``)."""
+
+    min_rows: int = MIN_HOT_ROWS
+    rows_per_bucket: int = ROWS_PER_BUCKET
+    max_buckets: int = MAX_BUCKETS
+    max_keys: int = MAX_HOT_KEYS
+
+    def hot(self, counts: DataFrame, keys: Sequence[str], count_col: str = "count") -> DataFrame:
+        return hot_keys(counts, keys, count_col, self.min_rows, self.rows_per_bucket,
+                        self.max_buckets, self.max_keys)
+
+
+DEFAULT_SKEW = SkewPolicy()
+
+
 class UnresolvedConflictError(RuntimeError):
     """Rows still disagree with the authority after reconciliation."""
 
@@ -159,26 +178,51 @@ def conflict_status(conflicts: DataFrame, authority: DataFrame, spec: ReconcileS
     return flags.select(spec.id_col, _UNKNOWN, lst.alias(AUDIT_LIST_COL))
 
 
-def _null_safe_on(left: str, right: str, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b,
-                  [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
-
-
 def _resolved_flag(spec: ReconcileSpec) -> Column:
     return F.when(F.array_contains(AUDIT_LIST_COL, spec.id_col), F.lit("no")).otherwise(F.lit("yes"))
 
 
+def _audit_rows(upload: DataFrame, ck_counts: DataFrame, status: DataFrame, spec: ReconcileSpec,
+                skew: SkewPolicy | None, hot_ids: DataFrame | None) -> DataFrame:
+    """Upload rows whose own identity tuple conflicts, with their id's list.
+
+    Tuples are compared as one struct key (nested nulls compare equal, like
+    the null-safe tuple identity needed here); hot ids and hot tuples are
+    salted.
+    """
+    keys = list(spec.keys)
+    listed = status.where(F.size(AUDIT_LIST_COL) > 0).select(spec.id_col, AUDIT_LIST_COL)
+    rows = skew_join(upload.select(*keys), listed, [spec.id_col], "inner", hot_ids)
+    tup = F.struct(*keys).alias("__uc_tuple")
+    conflicting = ck_counts.select(tup)
+    hot_tuples = skew.hot(ck_counts.select(tup, "count"), ["__uc_tuple"]) if skew else None
+    rows = skew_join(rows.withColumn("__uc_tuple", tup), conflicting, ["__uc_tuple"],
+                     "left_semi", hot_tuples).drop("__uc_tuple")
+    return as_audit(rows, keys, F.col(AUDIT_LIST_COL), _resolved_flag(spec))
+
+
+def _tuple_counts(upload: DataFrame, auth: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows per identity tuple (partial aggregation: hot copies collapse
+    map-side), and the conflicting tuples among them with their counts."""
+    keys = list(keys)
+    counts = upload.groupBy(*keys).count()
+    return counts, counts.join(auth.select(*keys).distinct(), keys, "left_anti")
+
+
 def conflict_audit(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
-                   aligned: bool = False) -> DataFrame:
+                   aligned: bool = False, skew: SkewPolicy | None = DEFAULT_SKEW) -> DataFrame:
     """Audit rows for every conflicting upload row (no row-level rebuild)."""
     auth = authority if aligned else align_authority(authority, spec, upload)
-    keys = list(spec.keys)
-    ck = conflict_tuples(upload, auth, keys)
-    status = conflict_status(ck, auth, spec).where(F.size(AUDIT_LIST_COL) > 0)
-    rows = upload.select(*keys).alias("u").join(ck.alias("c"), _null_safe_on("u", "c", keys), "left_semi")
-    tagged = rows.alias("r").join(status.alias("s"), F.col(f"r.{spec.id_col}").eqNullSafe(
-        F.col(f"s.{spec.id_col}")), "inner").select("r.*", f"s.{AUDIT_LIST_COL}")
-    return as_audit(tagged, keys, F.col(AUDIT_LIST_COL), _resolved_flag(spec))
+    counts, ck_counts = _tuple_counts(upload, auth, spec.keys)
+    status = conflict_status(ck_counts.select(*spec.keys), auth, spec)
+    hot_ids = skew.hot(counts, [spec.id_col]) if skew else None
+    rows = _audit_rows(upload, ck_counts, status.where(F.col(spec.id_col).isNotNull()), spec,
+                       skew, hot_ids)
+    # a null id is never known and never equal to anything: each such row
+    # conflicts on every identity column
+    null_rows = upload.where(F.col(spec.id_col).isNull()).select(*spec.keys)
+    every = F.array(*[F.lit(k) for k in spec.keys])
+    return rows.unionByName(as_audit(null_rows, list(spec.keys), every, F.lit("no")))
 
 
 def apply_authority(rows: DataFrame, authority: DataFrame, spec: ReconcileSpec,
@@ -194,7 +238,8 @@ def apply_authority(rows: DataFrame, authority: DataFrame, spec: ReconcileSpec,
 
 def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
               on_unresolvable: str = "fail",
-              stage: Callable[[DataFrame, str], DataFrame] | None = None) -> Reconciled:
+              stage: Callable[[DataFrame, str], DataFrame] | None = None,
+              skew: SkewPolicy | None = DEFAULT_SKEW) -> Reconciled:
     """Compare identity columns with the authority; return clean rows and the audit.
 
     ``on_unresolvable``: ``'fail'`` keeps rows that can never match (null id,
@@ -202,14 +247,17 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
     lists them in ``unresolved`` for :func:`assert_resolved`; ``'quarantine'``
     moves them from ``clean`` into the audit with ``resolved='no'``.
 
+    ``skew`` decides which ids / tuples count as hot and get salted
+    (``None``: plain joins).
+
     ``stage(df, name)`` may materialise or persist the two small
     intermediate tables (conflicting tuples, per-id status) so that the clean
     rows and the audit, when computed by separate actions, share them.
 
-    The clean rows come from one pass over the upload: a left join with the
-    per-id status and a left join with the authority rows of the conflicting
-    known ids, both keyed by id (so the upload is shuffled at most once, and
-    not at all when AQE broadcasts the two small sides).  A row of a
+    The clean rows come from one pass over the upload: one left join, keyed
+    by id, with the per-id status extended by the authority rows of the
+    conflicting known ids (so the upload is shuffled at most once, not at all
+    when AQE broadcasts that side, and a hot id's partition can be split).  A row of a
     non-conflicting id meets no authority row and is kept as it is; a row of
     a conflicting id meets every authority row of its id and takes their
     identity values; rows of unknown ids are dropped.
@@ -222,17 +270,22 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
     id_col = spec.id_col
 
     stage = stage or (lambda df, name: df)
-    ck = stage(conflict_tuples(upload, auth, keys), "conflict_tuples")
-    status = stage(conflict_status(ck, auth, spec).where(F.col(id_col).isNotNull()),
-                   "conflict_status")
+    counts, ck_counts = _tuple_counts(upload, auth, keys)
+    ck_counts = stage(ck_counts, "conflict_tuples")
+    status = stage(conflict_status(ck_counts.select(*keys), auth, spec)
+                   .where(F.col(id_col).isNotNull()), "conflict_status")
+    hot_ids = skew.hot(counts, [id_col]) if skew else None
 
     fix_ids = status.where(~F.col(_UNKNOWN)).select(id_col)
     fixes = (auth.join(fix_ids, id_col, "left_semi")
              .select(id_col, *[F.col(k).alias(f"__uc_a{i}") for i, k in enumerate(spec.attr_cols)])
              .withColumn("__uc_fix", F.lit(True)))
-    joined = (upload.join(status.select(id_col, _UNKNOWN), id_col, "left")
-              .where(~F.coalesce(F.col(_UNKNOWN), F.lit(False)))
-              .join(fixes, id_col, "left"))
+    # per conflicting id: one row (unknown) or its m authority rows (known);
+    # the upload meets it in a single id-keyed join (broadcast by AQE when
+    # small; hot ids salted otherwise)
+    per_id = status.select(id_col, _UNKNOWN).join(fixes, id_col, "left")
+    joined = (skew_join(upload, per_id, [id_col], "left", hot_ids)
+              .where(~F.coalesce(F.col(_UNKNOWN), F.lit(False))))
     fix = F.coalesce(F.col("__uc_fix"), F.lit(False))
     attr_pos = {k: i for i, k in enumerate(spec.attr_cols)}
     rows = joined.select(
@@ -253,12 +306,7 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
         F.count(F.when(F.col("__uc_fix"), 1)).alias("replaced_rows"),
         F.count(F.when(bad, 1)).alias("unresolved_rows"))
 
-    # audit: upload rows whose own tuple conflicts, with their id's list
-    listed = status.where(F.size(AUDIT_LIST_COL) > 0).select(id_col, AUDIT_LIST_COL)
-    audit_rows = (upload.select(*keys).alias("u")
-                  .join(ck.alias("c"), _null_safe_on("u", "c", keys), "left_semi")
-                  .join(listed, id_col, "inner"))
-    audit = as_audit(audit_rows, keys, F.col(AUDIT_LIST_COL), _resolved_flag(spec))
+    audit = _audit_rows(upload, ck_counts, status, spec, skew, hot_ids)
 
     if on_unresolvable == "quarantine":
         unres = both.where(bad)

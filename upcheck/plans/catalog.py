@@ -13,14 +13,12 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from upcheck.functions.text import extract_int
 from upcheck.operators.audit import lookup_audit, summarize_audit
 from upcheck.operators.columns import check_schema, drop_all_null, normalise_columns
-from upcheck.operators.reconcile import (ReconcileSpec, conflict_audit, conflict_tuples,
-                                         exact_mismatches, reconcile, residual, unknown_ids,
-                                         align_authority)
+from upcheck.operators.reconcile import (ReconcileSpec, align_authority, conflict_audit,
+                                         exact_mismatches, reconcile, residual, unknown_ids)
 from upcheck.operators.validate import TokenRule, clean_tokens, validate_tokens
 from upcheck.plans import fixtures as fx
 from upcheck.plans.presets import UploadPreset, sequence_columns
