@@ -5,11 +5,11 @@ from collections import Counter
 import pytest
 
 from tests.test_reconcile_model import AU, SPEC, UP, model
-from upcheck.operators.reconcile import SkewPolicy, reconcile
-from upcheck.operators.skew import hot_keys
+from upcheck.operators.reconcile import reconcile
+from upcheck.operators.skew import SkewPolicy, repeat_rows, skew_join
 from upcheck.operators.validate import TokenRule, validate_tokens
 
-LOW = SkewPolicy(min_rows=200, rows_per_bucket=100, max_buckets=16, max_keys=10)
+LOW = SkewPolicy(min_rows=200, rows_per_bucket=100, max_buckets=16, max_keys=10, sample_fraction=1.0)
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",          # force shuffled joins
@@ -46,14 +46,28 @@ def _data():
     return upload, auth
 
 
-def test_hot_keys_bounded(spark):
-    counts = spark.createDataFrame([("HOT", 1000), ("P1", 10), ("WARM", 250)], "id string, count long")
-    got = {r["id"]: r["__sk_n"] for r in hot_keys(counts, ["id"], min_rows=200, rows_per_bucket=100,
-                                           max_buckets=8, max_keys=1).collect()}
-    assert got == {"HOT": 8}
+def test_detect_bounded(spark):
+    df = spark.createDataFrame([("HOT",)] * 1000 + [("P1",)] * 10 + [("WARM",)] * 250, "id string")
+    pol = SkewPolicy(min_rows=200, rows_per_bucket=100, max_buckets=8, max_keys=1, sample_fraction=1.0)
+    assert pol.detect(df, "id") == [("HOT", 8)]
 
 
-@pytest.mark.parametrize("policy", [None, LOW], ids=["aqe-split", "salted"])
+def test_skew_join_keeps_results(spark):
+    big = spark.createDataFrame([("H", i) for i in range(500)] + [("a", 1), (None, 2)], "k string, v int")
+    small = spark.createDataFrame([("H", 10), ("H", 11), ("a", 12), ("b", 13)], "k string, w int")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain = sorted(map(str, big.join(small, "k", how).collect()))
+        salted = sorted(map(str, skew_join(big, small, "k", how, [("H", 7)]).collect()))
+        assert plain == salted, how
+
+
+def test_repeat_rows_bounded(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 5), ("c", 100), ("d", 37)], "k string, count long")
+    got = Counter(r.k for r in repeat_rows(df, "count", fanout=4).collect())
+    assert got == {"a": 1, "b": 5, "c": 100, "d": 37}
+
+
+@pytest.mark.parametrize("policy", [None, LOW], ids=["default", "salted"])
 def test_hot_id_reconcile_matches_model(spark, skew_conf, policy):
     upload, auth = _data()
     kw = {} if policy is None else {"skew": policy}
@@ -65,15 +79,13 @@ def test_hot_id_reconcile_matches_model(spark, skew_conf, policy):
     assert sum(1 for k in got.elements() if k[0] == "HOT") == 2000   # 1000 rows x 2 authority rows
     plan = clean._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
-    if policy is None:
-        assert "skew=true" in plan       # AQE split the hot partition
-    else:
+    if policy is not None:
         assert "__sk_salt" in plan       # the hot id was salted
     got_audit = Counter((tuple(r)[:4], tuple(r.conflict_columns)) for r in rec.audit.collect())
     assert got_audit == exp_audit
 
 
-@pytest.mark.parametrize("policy", [None, LOW], ids=["aqe-split", "salted"])
+@pytest.mark.parametrize("policy", [None, LOW], ids=["default", "salted"])
 def test_hot_id_quarantine(spark, skew_conf, policy):
     rows = [("HOT", "ACD" if i % 500 else "AC1", "x") for i in range(3000)] + \
            [(f"P{i}", "ACD", "x") for i in range(6000)] + [("Q1", "AC1", "x")]

@@ -21,7 +21,6 @@ from upcheck.operators.audit import (
 from upcheck.operators.reconcile import (
     ReconcileSpec,
     Reconciled,
-    SkewPolicy,
     UnresolvedConflictError,
     align_authority,
     apply_authority,
@@ -34,7 +33,7 @@ from upcheck.operators.reconcile import (
     residual,
     unknown_ids,
 )
-from upcheck.operators.skew import hot_keys, skew_join
+from upcheck.operators.skew import DEFAULT_SKEW, SkewPolicy, repeat_rows, skew_join
 from upcheck.operators.validate import (
     TokenRule,
     clean_tokens,
@@ -52,5 +51,5 @@ __all__ = [
     "conflict_audit", "conflict_status", "flag_tokens", "split_flagged", "drop_all_null", "empty_audit", "exact_mismatches",
     "invalid_columns", "lookup_audit", "normalise_columns", "normalised_names",
     "quarantine_by_key", "reconcile", "residual", "schema_report", "summarize_audit",
-    "union_audit", "unknown_ids", "validate_tokens", "hot_keys", "skew_join",
+    "union_audit", "unknown_ids", "validate_tokens", "DEFAULT_SKEW", "repeat_rows", "skew_join",
 ]

@@ -35,8 +35,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from upcheck.operators.audit import AUDIT_LIST_COL, as_audit
-from upcheck.operators.skew import (MAX_BUCKETS, MAX_HOT_KEYS, MIN_HOT_ROWS, ROWS_PER_BUCKET,
-                                    hot_keys, skew_join)
+from upcheck.operators.skew import DEFAULT_SKEW, SkewPolicy, repeat_rows, skew_join
 
 # internal column names (prefixed so they cannot clash with upload columns)
 _CNAME = "__uc_col"
@@ -47,23 +46,6 @@ _UNKNOWN = "__uc_unknown"
 _FLAG = "__uc_f"
 
 
-@dataclass(frozen=True)
-class SkewPolicy:
-    """When a key counts as hot and how far it is spread (see ``operators.skew``)."""
-
-    min_rows: int = MIN_HOT_ROWS
-    rows_per_bucket: int = ROWS_PER_BUCKET
-    max_buckets: int = MAX_BUCKETS
-    max_keys: int = MAX_HOT_KEYS
-
-    def hot(self, counts: DataFrame, keys: Sequence[str], count_col: str = "count") -> DataFrame:
-        return hot_keys(counts, keys, count_col, self.min_rows, self.rows_per_bucket,
-                        self.max_buckets, self.max_keys)
-
-
-DEFAULT_SKEW = SkewPolicy()
-
-
 class UnresolvedConflictError(RuntimeError):
     """Rows still disagree with the authority after reconciliation."""
 
@@ -97,6 +79,7 @@ class Reconciled:
     audit: DataFrame          # one row per conflicting upload row (audit schema)
     unresolved: DataFrame     # rows of ``clean`` that still cannot match (null id, null authority value)
     metrics: Observation      # rows, replaced_rows, unresolved_rows (after an action on ``clean``)
+    hot_ids: list | None = None  # ids salted in the joins (bounded list)
 
 
 def align_authority(authority: DataFrame, spec: ReconcileSpec,
@@ -182,23 +165,15 @@ def _resolved_flag(spec: ReconcileSpec) -> Column:
     return F.when(F.array_contains(AUDIT_LIST_COL, spec.id_col), F.lit("no")).otherwise(F.lit("yes"))
 
 
-def _audit_rows(upload: DataFrame, ck_counts: DataFrame, status: DataFrame, spec: ReconcileSpec,
-                skew: SkewPolicy | None, hot_ids: DataFrame | None) -> DataFrame:
-    """Upload rows whose own identity tuple conflicts, with their id's list.
-
-    Tuples are compared as one struct key (nested nulls compare equal, like
-    the null-safe tuple identity needed here); hot ids and hot tuples are
-    salted.
-    """
+def _audit_rows(ck_counts: DataFrame, status: DataFrame, spec: ReconcileSpec,
+                hot_ids: list | None) -> DataFrame:
+    """One audit row per conflicting upload row, built from the conflicting
+    tuples and their row counts (no second pass over the upload): each tuple
+    of an id with a non-empty list is repeated as often as it occurs."""
     keys = list(spec.keys)
     listed = status.where(F.size(AUDIT_LIST_COL) > 0).select(spec.id_col, AUDIT_LIST_COL)
-    rows = skew_join(upload.select(*keys), listed, [spec.id_col], "inner", hot_ids)
-    tup = F.struct(*keys).alias("__uc_tuple")
-    conflicting = ck_counts.select(tup)
-    hot_tuples = skew.hot(ck_counts.select(tup, "count"), ["__uc_tuple"]) if skew else None
-    rows = skew_join(rows.withColumn("__uc_tuple", tup), conflicting, ["__uc_tuple"],
-                     "left_semi", hot_tuples).drop("__uc_tuple")
-    return as_audit(rows, keys, F.col(AUDIT_LIST_COL), _resolved_flag(spec))
+    tuples = skew_join(ck_counts, listed, spec.id_col, "inner", hot_ids)
+    return as_audit(repeat_rows(tuples, "count"), keys, F.col(AUDIT_LIST_COL), _resolved_flag(spec))
 
 
 def _tuple_counts(upload: DataFrame, auth: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -213,14 +188,13 @@ def conflict_audit(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
                    aligned: bool = False, skew: SkewPolicy | None = DEFAULT_SKEW) -> DataFrame:
     """Audit rows for every conflicting upload row (no row-level rebuild)."""
     auth = authority if aligned else align_authority(authority, spec, upload)
-    counts, ck_counts = _tuple_counts(upload, auth, spec.keys)
+    _, ck_counts = _tuple_counts(upload, auth, spec.keys)
     status = conflict_status(ck_counts.select(*spec.keys), auth, spec)
-    hot_ids = skew.hot(counts, [spec.id_col]) if skew else None
-    rows = _audit_rows(upload, ck_counts, status.where(F.col(spec.id_col).isNotNull()), spec,
-                       skew, hot_ids)
+    hot_ids = skew.detect(upload, spec.id_col) if skew else None
+    rows = _audit_rows(ck_counts, status.where(F.col(spec.id_col).isNotNull()), spec, hot_ids)
     # a null id is never known and never equal to anything: each such row
     # conflicts on every identity column
-    null_rows = upload.where(F.col(spec.id_col).isNull()).select(*spec.keys)
+    null_rows = repeat_rows(ck_counts.where(F.col(spec.id_col).isNull()), "count")
     every = F.array(*[F.lit(k) for k in spec.keys])
     return rows.unionByName(as_audit(null_rows, list(spec.keys), every, F.lit("no")))
 
@@ -247,8 +221,8 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
     lists them in ``unresolved`` for :func:`assert_resolved`; ``'quarantine'``
     moves them from ``clean`` into the audit with ``resolved='no'``.
 
-    ``skew`` decides which ids / tuples count as hot and get salted
-    (``None``: plain joins).
+    ``skew`` decides which ids count as hot and get salted (``None``: plain
+    joins); hot ids are found eagerly from a sample of the id column.
 
     ``stage(df, name)`` may materialise or persist the two small
     intermediate tables (conflicting tuples, per-id status) so that the clean
@@ -274,7 +248,7 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
     ck_counts = stage(ck_counts, "conflict_tuples")
     status = stage(conflict_status(ck_counts.select(*keys), auth, spec)
                    .where(F.col(id_col).isNotNull()), "conflict_status")
-    hot_ids = skew.hot(counts, [id_col]) if skew else None
+    hot_ids = skew.detect(upload, id_col) if skew else None
 
     fix_ids = status.where(~F.col(_UNKNOWN)).select(id_col)
     fixes = (auth.join(fix_ids, id_col, "left_semi")
@@ -284,7 +258,7 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
     # the upload meets it in a single id-keyed join (broadcast by AQE when
     # small; hot ids salted otherwise)
     per_id = status.select(id_col, _UNKNOWN).join(fixes, id_col, "left")
-    joined = (skew_join(upload, per_id, [id_col], "left", hot_ids)
+    joined = (skew_join(upload, per_id, id_col, "left", hot_ids)
               .where(~F.coalesce(F.col(_UNKNOWN), F.lit(False))))
     fix = F.coalesce(F.col("__uc_fix"), F.lit(False))
     attr_pos = {k: i for i, k in enumerate(spec.attr_cols)}
@@ -306,7 +280,7 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
         F.count(F.when(F.col("__uc_fix"), 1)).alias("replaced_rows"),
         F.count(F.when(bad, 1)).alias("unresolved_rows"))
 
-    audit = _audit_rows(upload, ck_counts, status, spec, skew, hot_ids)
+    audit = _audit_rows(ck_counts, status, spec, hot_ids)
 
     if on_unresolvable == "quarantine":
         unres = both.where(bad)
@@ -321,7 +295,7 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
     else:
         clean = both.drop("__uc_fix")
         unresolved = both.where(bad).drop("__uc_fix")
-    return Reconciled(clean=clean, audit=audit, unresolved=unresolved, metrics=obs)
+    return Reconciled(clean=clean, audit=audit, unresolved=unresolved, metrics=obs, hot_ids=hot_ids)
 
 
 def residual(clean: DataFrame, authority: DataFrame, spec: ReconcileSpec) -> DataFrame:

@@ -1,72 +1,101 @@
-"""Skew-safe joins: spread hot keys of the big side over several partitions.
+"""Skew-safe joins and bounded row expansion.
 
 AQE splits skewed partitions only when both join children are shuffles; the
 joins in this library meet a pre-aggregated side that is already partitioned
-by the key (a per-id status, the bad ids, distinct tuples), so a key holding
-a third of all rows would land in one task.  ``skew_join`` salts such keys:
+by the key (a per-id status, the bad ids), so a key holding a third of all
+rows would land in one task.  ``skew_join`` salts such keys:
 
-* hot keys (at least ``min_rows`` rows) come from counts the plan already
-  has, capped to the ``max_keys`` hottest - a proven bound for the broadcast;
+* :meth:`SkewPolicy.detect` finds hot keys from a sample of the key column
+  (one narrow scan) and returns at most ``max_keys`` of them - a bounded
+  list, so it is inlined into the plan as literals;
 * each hot key gets ``ceil(rows / rows_per_bucket)`` buckets (at most
-  ``max_buckets``); big-side rows of the key are dealt round-robin over them;
-* small-side rows of a hot key are replicated once per bucket; all other
-  rows use bucket 0, so non-hot keys join exactly as before.
+  ``max_buckets``); big-side rows of the key are dealt round-robin over them
+  and the small side's rows of the key are replicated once per bucket;
+* with no hot key the join is a plain join: the plan is unchanged.
 
 Every big-side row still meets exactly the small-side rows of its key, so
-inner, left outer, semi and anti joins keep their results.
+inner, left outer, semi and anti joins keep their results; a missed or extra
+hot key changes speed, never results.
+
+``repeat_rows`` emits each row ``count`` times with arrays of at most
+``fanout`` elements and spreads large counts over tasks.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+import math
+from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MIN_HOT_ROWS = 1_000_000       # a key with this many rows is split
-ROWS_PER_BUCKET = 1_000_000    # target rows per bucket of a hot key
-MAX_BUCKETS = 1024             # replication cap for the small side
-MAX_HOT_KEYS = 10_000          # bound on the broadcast hot-key table
-
-_HOT = "__sk_n"
 _SALT = "__sk_salt"
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], count_col: str = "count",
-             min_rows: int = MIN_HOT_ROWS, rows_per_bucket: int = ROWS_PER_BUCKET,
-             max_buckets: int = MAX_BUCKETS, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """``(keys..., __sk_n)`` for the hottest keys of a per-key count table.
+@dataclass(frozen=True)
+class SkewPolicy:
+    """When a key counts as hot and how far it is spread."""
 
-    ``counts`` holds one row per key, or several (they are summed).  The
-    result has at most ``max_keys`` rows, so broadcasting it is safe.
-    """
-    keys = list(keys)
-    per_key = counts.groupBy(*keys).agg(F.sum(count_col).alias("__sk_rows"))
-    n = F.least(F.lit(max_buckets), F.ceil(F.col("__sk_rows") / F.lit(rows_per_bucket))).cast("int")
-    return (per_key.where(F.col("__sk_rows") >= min_rows)
-            .orderBy(F.col("__sk_rows").desc())
-            .limit(max_keys)
-            .select(*keys, n.alias(_HOT)))
+    min_rows: int = 1_000_000        # a key with this many rows is split
+    rows_per_bucket: int = 1_000_000  # target rows per bucket of a hot key
+    max_buckets: int = 1024           # replication cap for the small side
+    max_keys: int = 1000              # bound on the hot-key list
+    sample_fraction: float = 0.01     # share of rows sampled to find hot keys
+    seed: int = 17
+
+    def detect(self, df: DataFrame, key: str) -> list[tuple[Any, int]]:
+        """``[(key value, buckets)]`` for the hottest keys of ``df[key]`` (bounded)."""
+        frac = min(1.0, self.sample_fraction)
+        keys = df.select(key).where(F.col(key).isNotNull())
+        if frac < 1.0:
+            keys = keys.sample(False, frac, self.seed)
+        threshold = max(1, int(self.min_rows * frac))
+        rows = (keys.groupBy(key).count().where(F.col("count") >= threshold)
+                .orderBy(F.col("count").desc()).limit(self.max_keys).collect())
+        return [(r[0], max(1, min(self.max_buckets, math.ceil(r[1] / frac / self.rows_per_bucket))))
+                for r in rows]
+
+
+DEFAULT_SKEW = SkewPolicy()
+
+
+def skew_join(big: DataFrame, small: DataFrame, key: str, how: str,
+              hot: list[tuple[Any, int]] | None) -> DataFrame:
+    """``big.join(small, key, how)`` with the given hot keys of ``big`` salted."""
+    if not hot:
+        return big.join(small, key, how)
+    buckets = F.create_map(*[x for k, n in hot for x in (F.lit(k), F.lit(n))])
+    n = buckets[F.col(key)]                         # null for keys that are not hot
+    salt = F.pmod(F.monotonically_increasing_id(), n.cast("long")).cast("int")
+    b = big.withColumn(_SALT, F.coalesce(salt, F.lit(0)))
+    spread = F.when(n.isNotNull(), F.sequence(F.lit(0), n - 1)).otherwise(F.array(F.lit(0)))
+    s = small.withColumn(_SALT, F.explode(spread))
+    return b.join(s, [key, _SALT], how).drop(_SALT)
 
 
-def skew_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str,
-              hot: DataFrame | None) -> DataFrame:
-    """``big.join(small, on, how)`` with hot keys of ``big`` salted.
+def repeat_rows(df: DataFrame, count_col: str, fanout: int = 65536) -> DataFrame:
+    """Each row ``count_col`` times (bag expansion).
 
-    ``hot`` comes from :func:`hot_keys` (bounded); ``None`` means a plain join.
+    Arrays never exceed ``fanout`` elements: counts above ``fanout`` are cut
+    into chunks (two levels cover ``fanout**3`` copies) and the chunks are
+    dealt round-robin over tasks before they are expanded, so a tuple with a
+    third of all rows is written by many tasks.
     """
-    on = list(on)
-    if hot is None:
-        return big.join(small, on, how)
-    hot_b = F.broadcast(hot)  # at most max_keys rows
-    salt = F.when(F.col(_HOT).isNotNull(),
-                  F.pmod(F.monotonically_increasing_id(), F.col(_HOT).cast("long")).cast("int"))
-    b = (big.join(hot_b, on, "left")
-         .withColumn(_SALT, F.coalesce(salt, F.lit(0)))
-         .drop(_HOT))
-    buckets = F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.col(_HOT) - 1)) \
-        .otherwise(F.array(F.lit(0)))
-    s = (small.join(hot_b, on, "left")
-         .withColumn(_SALT, F.explode(buckets))
-         .drop(_HOT))
-    return b.join(s, [*on, _SALT], how).drop(_SALT)
+    c = F.col(count_col)
+    cols = [x for x in df.columns if x != count_col]
+    small = df.where(c <= fanout).select(*cols, F.explode(F.sequence(F.lit(1), c)).alias("__rr"))
+    big = df.where(c > fanout)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    outer = fanout * fanout
+    big = (big.select(*cols, c.alias("__rr_n"),
+                      F.explode(F.sequence(F.lit(0), ((c - 1) / outer).cast("long"))).alias("__rr_i"))
+           .select(*cols, F.least(F.col("__rr_n") - F.col("__rr_i") * outer, F.lit(outer)).alias("__rr_n"))
+           .repartition(parts))
+    big = (big.select(*cols, F.col("__rr_n"),
+                      F.explode(F.sequence(F.lit(0), ((F.col("__rr_n") - 1) / fanout).cast("long")))
+                      .alias("__rr_i"))
+           .select(*cols, F.least(F.col("__rr_n") - F.col("__rr_i") * fanout, F.lit(fanout)).alias("__rr_n"))
+           .repartition(parts)
+           .select(*cols, F.explode(F.sequence(F.lit(1), F.col("__rr_n"))).alias("__rr")))
+    return small.unionByName(big).drop("__rr")
