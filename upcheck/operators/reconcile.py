@@ -136,7 +136,9 @@ def conflict_status(conflicts: DataFrame, authority: DataFrame, spec: ReconcileS
     ``conflicts`` holds conflicting identity tuples (distinct or not).  The
     null id, if present, forms one group.
     """
-    entries = _entries(conflicts, spec, with_nullflag=True).distinct()
+    # grouped on the join keys, so the join below reuses this partitioning
+    entries = (_entries(conflicts, spec, with_nullflag=True)
+               .groupBy(spec.id_col, _CNAME, _VALUE).agg(F.bool_or(_ANYNULL).alias(_ANYNULL)))
     # only authority rows of ids that conflict can matter: filter before
     # unpivoting (a broadcast semi join when the conflict set is small)
     relevant = authority.join(conflicts.select(spec.id_col).where(F.col(spec.id_col).isNotNull())
