@@ -8,18 +8,22 @@ rows of the other conflicting ids from the authority's values.
 
 Plan shape (all declarative, Catalyst/AQE choose the physical joins):
 
-1. distinct identity tuples of the upload ``left_anti`` distinct authority
-   tuples -> conflicting tuples.  ``distinct`` is a partial aggregation, so a
-   hot group of identical rows collapses map-side before the shuffle.
+1. ``groupBy(identity tuple).count()`` of the upload, ``left_anti`` the
+   distinct authority tuples -> conflicting tuples with their row counts.
+   The aggregation is partial, so a hot group of identical rows collapses
+   map-side before the shuffle; only identity columns are read.
 2. the conflicting tuples are unpivoted into ``(id, column, value)`` entries
-   and left-joined to the authority's distinct entries; one ``groupBy(id)``
-   of booleans gives, per id, whether the id is unknown and which columns
-   disagree.  Aggregates are bounded (no per-id lists of values), so an id
-   holding a third of all rows costs no more memory than any other.
-3. one join of the upload with that per-id status, keyed by id, splits the
-   rows into kept / dropped / rebuilt; the rebuilt rows join the authority by
-   id.  AQE broadcasts the status when it measures it small and splits skewed
-   id partitions otherwise.
+   and left-joined to the distinct entries of the authority rows of those
+   ids; one ``groupBy(id)`` of booleans gives, per id, whether the id is
+   unknown and which columns disagree.  Aggregates are bounded (no per-id
+   lists of values), so an id holding a third of all rows costs no more
+   memory than any other.
+3. one join of the upload, keyed by id, with the per-id status extended by
+   the authority rows of the conflicting known ids splits the rows into
+   kept / dropped / rebuilt.  AQE broadcasts that side when it measures it
+   small; hot ids (found from a bounded sample) are salted otherwise.
+4. the audit is the conflicting tuples of listed ids repeated by their
+   counts (bounded arrays) - no second pass over the upload.
 
 Nulls never match in any join (plain equality), as in the source semantics:
 a null attribute always conflicts, a null id is never known.
