@@ -93,3 +93,11 @@ def test_hot_id_quarantine(spark, skew_conf, policy):
     kw = {} if policy is None else {"skew": policy}
     clean, audit = validate_tokens(df, None, TokenRule(("s",), "ACDEFGHIKLMNPQRSTVWY"), "id", ("id",), **kw)
     assert clean.count() == 6000 and audit.count() == 7
+
+
+def test_sampled_detection_finds_a_third(spark):
+    rows = [("HOT",)] * 10000 + [(f"P{i}",) for i in range(20000)]
+    df = spark.createDataFrame(rows, "id string")
+    pol = SkewPolicy(min_rows=5000, rows_per_bucket=1000, max_buckets=64, max_keys=5, sample_fraction=0.1)
+    hot = pol.detect(df, "id")
+    assert [k for k, _ in hot] == ["HOT"] and 5 <= hot[0][1] <= 15
