@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upcheck.llm import substring_dedup, suffix_dedup
+from upcheck.llm import host_quality, langid, simhash, substring_dedup, suffix_dedup
+from upcheck.llm.common import Scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,9 +32,39 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", _removed().alias("n_removed"), hex_sha256(F.col("kept").cast("binary")).alias("kept_sha256"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_within``: of documents whose id is divisible by 100, how many (itself included) are in the radius."""
+    scratch = Scratch(spark)
+    rows = scratch.save(simhash.fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
+    index = rows.groupBy("fp").agg(F.count("*").alias("docs"))
+    asked = rows.where("doc_id % 100 = 0")
+    near = simhash.within(asked, index).groupBy("fp").agg(F.sum("docs").alias("n_within"))
+    out = rows.join(near.withColumn("asked", F.lit(True)), "fp", "left")
+    return out.select(
+        "doc_id", "n_chars", "edited_sha256", simhash.hexed(F.col("fp")).alias("fingerprint"), simhash.hexed(F.col("edited_fp")).alias("edited_fingerprint"),
+        simhash.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), simhash.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        F.when(F.col("doc_id") % 100 == 0, F.col("n_within")).alias("n_within"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = langid.part_of("doc_id", 3)
+    model = langid.train(docs.where(fold != 1))
+    out = langid.predict(docs, model, ["doc_id"])
+    return out.select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = host_quality.judged(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_simhash": op3_simhash,
+    "op4_language_id": op4_language_id,
+    "op5_host_quality": op5_host_quality,
 }
 
 SQL: dict[str, str] = {}
