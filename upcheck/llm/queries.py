@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from public_tokenizers import path as tokenizer_path
 
-from upcheck.llm import host_quality, langid, simhash, substring_dedup, suffix_dedup
+from upcheck.llm import bpe, host_quality, langid, packing, simhash, substring_dedup, suffix_dedup
 from upcheck.llm.common import Scratch
 
 
@@ -59,12 +60,25 @@ def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_byte_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), hex_sha256(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")).alias("ids_sha256"),
+                      hex_sha256(F.col("decoded").cast("binary")).alias("decoded_sha256"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
     "op5_host_quality": op5_host_quality,
+    "op8_byte_pair": op8_byte_pair,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 SQL: dict[str, str] = {}
