@@ -228,7 +228,8 @@ def packed(pieces: DataFrame, order: list[str], capacity: int = CAPACITY, parts:
     np.add.at(counts, sizes["length"].to_numpy(np.int64), sizes["c"].to_numpy(np.int64))
     c, length = sizes["c"].to_numpy(np.int64), sizes["length"].to_numpy(np.int64)
     begin = np.cumsum(c) - c - (np.cumsum(counts) - counts)[length]
-    before = dict(zip(zip(length.tolist(), sizes["_part"].tolist()), begin.tolist()))
+    before = np.zeros((capacity + 1, parts), np.int64)
+    before[length, sizes["_part"].to_numpy(np.int64)] = begin
     table = slots(bin_completion(counts, capacity))
     sent = spark.sparkContext.broadcast((before, table))
     ranked = marked.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_part").orderBy(*order)).cast("long"))
@@ -239,8 +240,8 @@ def packed(pieces: DataFrame, order: list[str], capacity: int = CAPACITY, parts:
         wide = np.int64(1) << np.int64(44)
         keys = table[:, 0] * wide + table[:, 1]
         for batch in batches:
-            length, part = batch.column("length").to_numpy(), batch.column("_part").to_pylist()
-            rank = batch.column("_rank").to_numpy() - 1 + np.fromiter((before[x] for x in zip(length.tolist(), part)), np.int64, len(part))
+            length, part = batch.column("length").to_numpy(), batch.column("_part").to_numpy()
+            rank = batch.column("_rank").to_numpy() - 1 + before[length, part]
             slot = table[np.searchsorted(keys, length * wide + rank, side="right") - 1]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n, _ in types[:-2]), pa.array(slot[:, 2] + rank - slot[:, 1]), pa.array(slot[:, 4])], names=[n for n, _ in types])
     return ranked.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in types))

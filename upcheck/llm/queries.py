@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from upcheck.llm import bpe, host_quality, langid, packing, simhash, substring_dedup, suffix_dedup
+from upcheck.llm import bpe, host_quality, jaccard, langid, packing, simhash, substring_dedup, suffix_dedup
 from upcheck.llm.common import Scratch
 
 
@@ -60,6 +60,10 @@ def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
     out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
@@ -77,6 +81,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
     "op5_host_quality": op5_host_quality,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_byte_pair": op8_byte_pair,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
