@@ -214,11 +214,9 @@ def joined(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     labels = scratch.save(components(links, scratch, "first"), "labels1")
     apart = stars.join(_named(labels, "a"), "a", "left").join(_named(labels, "b"), "b", "left")
     apart = apart.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
-    links = scratch.save(links.unionByName(_linked(apart, sets)), "links2")
-    labels = scratch.save(components(links, scratch, "second"), "labels2")
+    links, labels = _extended(links, labels, _linked(apart, sets), scratch, "second")
     across = scratch.save(_across(buckets, labels, members, scratch), "across")
-    links = scratch.save(links.unionByName(_linked(across, sets)), "links3")
-    labels = scratch.save(components(links, scratch, "third"), "labels3")
+    links, labels = _extended(links, labels, _linked(across, sets), scratch, "third")
     placed = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     placed = scratch.save(placed.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("label", "cls")).alias("label")), "placed")
     least = scratch.save(placed.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id")), "least")
@@ -227,6 +225,15 @@ def joined(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     return out
 
 
+def _extended(links: DataFrame, labels: DataFrame, more: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+    """Links and labels with ``more`` links."""
+    more = scratch.save(more, f"{name}_links")
+    if more.isEmpty():
+        return links, labels
+    links = links.unionByName(more)
+    return links, scratch.save(components(links, scratch, name), f"{name}_labels")
+
+
 def _named(labels: DataFrame, column: str) -> DataFrame:
     return labels.select(F.col("node").alias(column), F.col("label").alias(f"label_{column}"))
 

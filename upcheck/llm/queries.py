@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from upcheck.llm import bpe, host_quality, jaccard, langid, packing, simhash, substring_dedup, suffix_dedup
+from upcheck.llm import bpe, host_quality, jaccard, langid, packing, simhash, substring_dedup, suffix_dedup, toxicity
 from upcheck.llm.common import Scratch
 
 
@@ -71,6 +71,12 @@ def op8_byte_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
                       hex_sha256(F.col("decoded").cast("binary")).alias("decoded_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = table(spark, sf_dir, "documents"), langid.part_of("doc_id", 5)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").where(fold != 0))
+    return toxicity.score(docs, model).select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -83,6 +89,7 @@ QUERIES = {
     "op5_host_quality": op5_host_quality,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_byte_pair": op8_byte_pair,
+    "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
