@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from upcheck.llm import bpe, host_quality, jaccard, langid, packing, simhash, substring_dedup, suffix_dedup, toxicity
+from upcheck.llm import bpe, host_quality, jaccard, langid, packing, pii, simhash, substring_dedup, suffix_dedup, toxicity
 from upcheck.llm.common import Scratch
 
 
@@ -60,6 +60,15 @@ def op5_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = pii.find(docs, pii.train(docs), ["doc_id"])
+    base = F.filter("spans", lambda x: x["base"])
+    count = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["s"], x["e"])), ",")
+    return out.select("doc_id", *(count(k) for k in pii.KINDS[:4]), hex_sha256(joined(base).cast("binary")).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.joined(table(spark, sf_dir, "documents"))
 
@@ -87,6 +96,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
     "op5_host_quality": op5_host_quality,
+    "op6_personal_data": op6_personal_data,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_byte_pair": op8_byte_pair,
     "op9_toxicity": op9_toxicity,
