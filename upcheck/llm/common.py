@@ -35,6 +35,14 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64("doc_id", "text").alias("rk"), "doc_id", "text")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column is called so (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 class Scratch:
     """Tables written to the shared folder, deleted as soon as they are read for the last time."""
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upcheck.llm.common import Scratch, keyed, mixed, ranges, slices, span_hashes, text_bytes, word_hashes
+from upcheck.llm.common import Scratch, keyed, mixed, ranges, slices, span_hashes, text_bytes, unused, word_hashes
 from upcheck.llm.components import components
 
 SHINGLE = 5
@@ -196,9 +196,8 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(near).select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long")
 
 
-def joined(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``: documents that links connect share the least of their ids."""
-    scratch = scratch or Scratch(docs.sparkSession)
+def labelled(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(rk, doc_id, n_shingles, label)``: rows that links connect share a label; null: no shingles."""
     rows = keyed(docs)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     members = scratch.save(rows.mapInArrow(_classes, f"rk long, doc_id {id_type}, n long, cls long"), "members")
@@ -218,11 +217,32 @@ def joined(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     across = scratch.save(_across(buckets, labels, members, scratch), "across")
     links, labels = _extended(links, labels, _linked(across, sets), scratch, "third")
     placed = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    placed = scratch.save(placed.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("label", "cls")).alias("label")), "placed")
+    placed = scratch.save(placed.select("rk", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("label", "cls")).alias("label")), "placed")
+    scratch.drop(*[x for x in scratch.paths if x != "placed"])
+    return placed
+
+
+def joined(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)``: documents that links connect share the least of their ids."""
+    scratch = scratch or Scratch(docs.sparkSession)
+    placed = labelled(docs, scratch)
     least = scratch.save(placed.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id")), "least")
-    out = placed.join(least, "label", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    scratch.drop(*[x for x in scratch.paths if x not in ("placed", "least")])
-    return out
+    return placed.join(least, "label", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """Rows of ``docs``: of those that links connect the one with the least id, and all without shingles."""
+    scratch = scratch or Scratch(docs.sparkSession)
+    placed = labelled(docs, scratch)
+    key, alone = unused("rk", docs.columns), unused("alone", docs.columns)
+    first = placed.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rk")).alias("x"))
+    kept = scratch.save(first.select(F.col("x.rk").alias(key), F.lit(False).alias(alone)).unionByName(
+        placed.where("label is null").select(F.col("rk").alias(key), F.lit(True).alias(alone)).distinct()), "kept_rows")
+    rows = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(kept, key)
+    # rows that repeat id and text share a key: of those with shingles one stays
+    each = unused("each", docs.columns)
+    rows = rows.withColumn(each, F.when(F.col(alone), F.monotonically_increasing_id()).otherwise(F.lit(-1)))
+    return rows.dropDuplicates([key, each]).select(*docs.columns)
 
 
 def _extended(links: DataFrame, labels: DataFrame, more: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upcheck.llm.common import slices
+from upcheck.llm.common import slices, unused
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 14
@@ -106,12 +106,11 @@ def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     return langs, out
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str]) -> DataFrame:
-    """Columns ``keep`` and ``lang_pred``, ``score``: the posterior of the language named."""
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str], name: str = "lang_pred", score: str = "score") -> DataFrame:
+    """Columns ``keep`` and two more: the language named, and its posterior."""
     langs, table = model
     sent = docs.sparkSession.sparkContext.broadcast((langs, table))
-    name, score = "lang_pred", "score"
-    source = docs.select(*keep, docs["text"].alias("text")) if "text" not in keep else docs.select(*keep)
+    source = docs.select(*dict.fromkeys([*keep, "text"]))
     types = {f.name: f.dataType.simpleString() for f in source.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,6 +140,13 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str
     return source.mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keep), f"{name} string", f"{score} double"]))
 
 
+def accepted(docs: DataFrame, model: tuple[list[str], np.ndarray], least: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` in a known language, named with a posterior of ``least`` or more; a null ``lang`` becomes that language."""
+    name, score = unused("lang_pred", docs.columns), unused("score", docs.columns)
+    out = predict(docs, model, docs.columns, name, score).where((F.col(name) != "und") & (F.col(score) >= least))
+    return out.withColumn("lang", F.coalesce("lang", name)).select(*docs.columns)
+
+
 def part_of(id_, parts: int):
     """crc32 of the id's decimal text modulo ``parts``: which fold a document is in (null: that of the empty text)."""
     return F.crc32(F.coalesce(F.col(id_).cast("string"), F.lit("")).cast("binary")) % parts

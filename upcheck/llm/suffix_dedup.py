@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upcheck.llm.common import Scratch
+from upcheck.llm.common import Scratch, unused
 from upcheck.llm.repeats import Unit, covered_spans, kept_spans, keyed, repeated_windows
 
 WINDOW = 200
@@ -161,3 +161,26 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     parts = F.transform(kept_spans(F.col("cut"), F.octet_length("raw")), lambda x: F.substring(F.col("raw"), x["s"] + 1, x["e"] - x["s"]).cast("string"))
     kept = F.when(F.size("cut") == 0, F.col("raw")).otherwise(F.array_join(parts, "").cast("binary"))
     return joined.select("doc_id", "text", "cut", kept.alias("kept"))
+
+
+def _goes_on(raw, at):
+    """Whether the byte there is inside a character."""
+    return F.hex(F.substring(raw, at + 1, F.lit(1))).between("80", "BF")
+
+
+def _whole(raw, cut):
+    """``cut`` shrunk to whole characters."""
+    after = lambda s: F.when(~_goes_on(raw, s), 0).when(~_goes_on(raw, s + 1), 1).when(~_goes_on(raw, s + 2), 2).otherwise(3)
+    back = lambda e: F.when(~_goes_on(raw, e), 0).when(~_goes_on(raw, e - 1), 1).when(~_goes_on(raw, e - 2), 2).otherwise(3)
+    return F.filter(F.transform(cut, lambda x: F.struct((x["s"] + after(x["s"])).alias("s"), (x["e"] - back(x["e"])).alias("e"))), lambda x: x["s"] < x["e"])
+
+
+def shortened(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
+    """Rows of ``docs`` without the repeated bytes, as far as they form whole characters; ``n_chars`` is counted anew."""
+    key, cut, raw = (unused(c, docs.columns) for c in ("rk", "cut", "raw"))
+    spans = find_spans(docs, window, anchor).select(F.col("rk").alias(key), F.col("cut").alias(cut))
+    rows = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(spans, key, "left").withColumn(raw, F.col("text").cast("binary"))
+    kept = kept_spans(_whole(F.col(raw), F.col(cut)), F.octet_length(raw))
+    parts = F.transform(kept, lambda x: F.substring(F.col(raw), x["s"] + 1, x["e"] - x["s"]).cast("string"))
+    text = F.when(F.col(cut).isNull(), F.col("text")).otherwise(F.array_join(parts, ""))
+    return rows.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
