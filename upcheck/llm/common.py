@@ -52,7 +52,7 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, "llm", name)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -218,6 +218,7 @@ def repeated_windows(docs: DataFrame, unit: Unit, find: Finder, earlier_only: bo
     distinct = scratch.save(
         found.groupBy("ck", "h", "lo", "n", "ctx").agg(F.count("*").alias("copies"), least)
         .select("ck", "h", "lo", "n", "ctx", "copies", "at.doc", "at.pos"), "distinct")
+    scratch.release()
     large = distinct.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > GROUP_LIMIT).select("h")
     large = scratch.save(large, "large")
     has_large = not large.isEmpty()
