@@ -9,9 +9,12 @@ differ in d shingles: a document joins others on its first d + 1 filled blocks
 (``block_keys``; one with too few filled blocks also joins on its empty ones).
 
 Equal sets are one class first.  In a bucket of equal blocks every class is
-verified against the bucket's least class only; where links then leave a
-bucket's classes in several components, the pairs across these are verified too,
-so no link between components is lost and no group's pairs are all made.
+held against the bucket's least class only; where links then leave a bucket's
+classes in several components, the pairs across these are held against each
+other too, so no link between components is lost and no group's pairs are all
+made.  Pairs meet as whole-set sketches first: one bit for about one shingle, the
+parity of those that fall on it, so the Hamming distance of two sketches is at
+most the number of differing shingles.  What passes is verified on the sets.
 
 Defined results: A-Z are lower-cased; a text of one to four words is one
 shingle; null texts and texts without words have no shingles and stand alone;
@@ -32,6 +35,8 @@ from upcheck.llm.common import Scratch, keyed, mixed, ranges, slices, span_hashe
 from upcheck.llm.components import components
 
 SHINGLE = 5
+#: Classes of a bucket that meet in one unit; larger buckets are dealt into blocks.
+BLOCK = 2048
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -104,6 +109,28 @@ def block_keys(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return task[owner], mixed(parity ^ mixed(number + np.uint64(1)))
 
 
+def sketches(h: np.ndarray, begin: np.ndarray) -> list[bytes]:
+    """Each set's parity bits: a power of two of them, as many as shingles or up to twice as many, 64 at least."""
+    n = np.diff(begin)
+    bits = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    base = np.cumsum(bits) - bits
+    owner = np.repeat(np.arange(len(n)), n)
+    place = base[owner] + (mixed(h) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(place, minlength=int(bits.sum())) & 1
+    raw = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [raw[a:b] for a, b in zip((base // 8).tolist(), ((base + bits) // 8).tolist())]
+
+
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch with ``size`` bytes: halves of a parity sketch add up to a shorter one."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, size // 8), axis=0)
+
+
+def may_link(n, m, distance):
+    """Whether sets of these sizes whose sketches have this distance can link."""
+    return 7 * distance <= n + m
+
+
 def class_ids(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """A hash of each row's set."""
     return span_hashes(h, begin[:-1], begin[1:]).view(np.int64)
@@ -120,7 +147,7 @@ def _sliced(batch: pa.RecordBatch):
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, h, begin in _sliced(batch):
-            yield pa.RecordBatch.from_arrays([batch.column("rk").slice(i, j - i), batch.column("doc_id").slice(i, j - i), pa.array(np.diff(begin)), pa.array(class_ids(h, begin))], names=["rk", "doc_id", "n", "cls"])
+            yield pa.RecordBatch.from_arrays([batch.column("rk").slice(i, j - i), batch.column("doc_id").slice(i, j - i), pa.array(np.diff(begin)), pa.array(class_ids(h, begin)), pa.array(sketches(h, begin), pa.binary())], names=["rk", "doc_id", "n", "cls", "sketch"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,37 +212,114 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
 
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs (a, b) with sizes n, m and sketches x, y those that may link."""
+    for batch in batches:
+        n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
+        far = np.zeros(batch.num_rows, np.int64)
+        for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())):
+            size = min(len(x), len(y))
+            far[i] = np.bitwise_count(folded(x, size) ^ folded(y, size)).sum()
+        keep = pa.array(may_link(n, m, far), pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+
+
+def _unit_pairs(cls: np.ndarray, label: np.ndarray, n: np.ndarray, side: np.ndarray, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a unit in different components that may link; of two sides only pairs across these.
+
+    Sizes that can link have sketches of one length or of one and its double."""
+    a, b = [], []
+    length = np.fromiter(map(len, raw), np.int64, len(raw))
+    for size in np.unique(length).tolist():
+        own, more = np.flatnonzero(length == size), np.flatnonzero(length == 2 * size)
+        every = np.append(own, more)
+        sketch = np.stack([folded(raw[i], size) for i in every])
+        for k, i in enumerate(own):
+            rest = every[k + 1:]
+            ok = (label[rest] != label[i]) & (4 * np.minimum(n[rest], n[i]) >= 3 * np.maximum(n[rest], n[i]))
+            if side[0] != side[-1]:
+                ok &= side[rest] != side[i]
+            ok = np.flatnonzero(ok)
+            if len(ok):
+                at = rest[ok]
+                at = at[may_link(n[at], n[i], np.bitwise_count(sketch[ok + k + 1] ^ sketch[k]).sum(axis=1, dtype=np.int64))]
+                a.append(np.full(len(at), cls[i]))
+                b.append(cls[at])
+    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of each unit (key, p, q); rows come in order of unit and side, and a unit's are held together (at most twice BLOCK)."""
+    held: list[pa.RecordBatch] = []
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        cls, label, n, side = (table.column(c).to_numpy() for c in ("cls", "label", "n", "side"))
+        raw = table.column("sketch").to_pylist()
+        unit = np.stack([table.column(c).to_numpy() for c in ("key", "p", "q")])
+        edge = np.flatnonzero(np.append(True, (unit[:, 1:] != unit[:, :-1]).any(axis=0)))
+        found = [_unit_pairs(cls[i:j], label[i:j], n[i:j], side[i:j], raw[i:j]) for i, j in zip(edge, np.append(edge[1:], len(cls))) if j - i > 1]
+        a, b = (np.concatenate([f[x] for f in found]) if found else np.zeros(0, np.int64) for x in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    for batch in batches:
+        unit = np.stack([batch.column(c).to_numpy() for c in ("key", "p", "q")])
+        if not unit.shape[1]:
+            continue
+        change = np.flatnonzero((unit[:, 1:] != unit[:, :-1]).any(axis=0))
+        last = int(change[-1]) + 1 if len(change) else 0  # where the last unit of the batch begins
+        if held and (last or any(held[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in ("key", "p", "q"))):
+            yield pairs(pa.Table.from_batches([*held, batch.slice(0, last)]))
+            held = []
+        elif last:
+            yield pairs(pa.Table.from_batches([batch.slice(0, last)]))
+        held.append(batch.slice(last))
+    if held:
+        yield pairs(pa.Table.from_batches(held))
+
+
 # ------------------------------------------------------------------ Spark
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the class pairs ``(a, b)`` that link."""
-    size = lambda c: F.octet_length(c) / F.lit(8)
+def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the class pairs ``(a, b)`` whose sizes and sketches allow a link."""
+    left = classes.select(F.col("cls").alias("a"), "n", F.col("sketch").alias("x"))
+    right = classes.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    near = 4 * F.least("n", "m") >= 3 * F.greatest("n", "m")
+    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b", "n", "m", "x", "y").mapInArrow(_near, "a long, b long")
+
+
+def _linked(pairs: DataFrame, rows: DataFrame, classes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Those of the class pairs ``(a, b)`` that link, by their sets; these are made of one document of each class."""
+    pairs = scratch.save(pairs, f"{name}_pairs")
+    used = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    chosen = scratch.save(classes.join(used, "cls", "left_semi").select("rk"), f"{name}_chosen")
+    sets = scratch.save(rows.join(chosen, "rk", "left_semi").select("text").mapInArrow(_sets, "cls long, shingles binary").dropDuplicates(["cls"]), f"{name}_sets")
     left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
-    near = (100 * F.least(size("x"), size("y"))) >= 75 * F.greatest(size("x"), size("y"))
-    return pairs.join(left, "a").join(right, "b").where(near).select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long")
+    links = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long")
+    return scratch.save(links, f"{name}_links")
 
 
 def labelled(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """``(rk, doc_id, n_shingles, label)``: rows that links connect share a label; null: no shingles."""
     rows = keyed(docs)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    members = scratch.save(rows.mapInArrow(_classes, f"rk long, doc_id {id_type}, n long, cls long"), "members")
+    members = scratch.save(rows.mapInArrow(_classes, f"rk long, doc_id {id_type}, n long, cls long, sketch binary"), "members")
     keys = rows.select("text").mapInArrow(_keys, "key long, cls long")
     buckets = scratch.save(
         keys.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(_buckets, "key long, cls long, lead long"), "buckets")
     scratch.release()
-    chosen = scratch.save(members.join(buckets.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("rk").alias("rk")).select("rk"), "chosen")
-    sets = scratch.save(rows.join(chosen, "rk").select("text").mapInArrow(_sets, "cls long, shingles binary").dropDuplicates(["cls"]), "sets")
-    scratch.release()
-    stars = scratch.save(buckets.where("cls <> lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct(), "pairs")
-    links = scratch.save(_linked(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets), "links1")
-    labels = scratch.save(components(links, scratch, "first"), "labels1")
+    met = buckets.select("cls").distinct()
+    one = F.min(F.struct("rk", "n", "sketch")).alias("x")
+    classes = scratch.save(members.join(met, "cls", "left_semi").groupBy("cls").agg(one).select("cls", "x.rk", "x.n", "x.sketch"), "classes")
+    stars = buckets.where("cls <> lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
+    stars = scratch.save(_filtered(stars, classes), "stars")
+    links = _linked(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), rows, classes, scratch, "first")
+    labels = scratch.save(components(links, scratch, "first"), "first_labels")
     apart = stars.join(_named(labels, "a"), "a", "left").join(_named(labels, "b"), "b", "left")
     apart = apart.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
-    links, labels = _extended(links, labels, _linked(apart, sets), scratch, "second")
-    across = scratch.save(_across(buckets, labels, members, scratch), "across")
-    links, labels = _extended(links, labels, _linked(across, sets), scratch, "third")
+    links, labels = _extended(links, labels, _linked(apart, rows, classes, scratch, "second"), scratch, "second")
+    across = _across(buckets, labels, classes, scratch)
+    links, labels = _extended(links, labels, _linked(across, rows, classes, scratch, "third"), scratch, "third")
     placed = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     placed = scratch.save(placed.select("rk", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("label", "cls")).alias("label")), "placed")
     scratch.drop(*[x for x in scratch.paths if x != "placed"])
@@ -247,7 +351,6 @@ def one_of_each(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
 
 def _extended(links: DataFrame, labels: DataFrame, more: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
     """Links and labels with ``more`` links."""
-    more = scratch.save(more, f"{name}_links")
     if more.isEmpty():
         return links, labels
     links = links.unionByName(more)
@@ -258,14 +361,19 @@ def _named(labels: DataFrame, column: str) -> DataFrame:
     return labels.select(F.col("node").alias(column), F.col("label").alias(f"label_{column}"))
 
 
-def _across(buckets: DataFrame, labels: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame:
-    """Class pairs of a bucket in different components, of sizes that can link; the bucket's least class is verified already."""
-    sizes = members.groupBy("cls").agg(F.first("n").alias("n"))
-    rest = buckets.where("cls <> lead")
-    labelled = rest.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", F.coalesce("label", "cls").alias("label"))
-    labelled = scratch.save(labelled, "labelled")
-    torn = scratch.save(labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key"), "torn")
-    kept = scratch.save(labelled.join(torn, "key").join(sizes, "cls"), "kept")
-    right = kept.select("key", F.col("cls").alias("b"), F.col("label").alias("label_b"), F.col("n").alias("m"))
-    pairs = kept.withColumnRenamed("cls", "a").join(right, "key").where("a < b and label <> label_b and 100 * least(n, m) >= 75 * greatest(n, m)")
-    return pairs.select("a", "b").distinct()
+def _across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Class pairs of a bucket in different components that may link; the bucket's least class is verified already.
+
+    A bucket of more than BLOCK classes is dealt into blocks, and each two
+    blocks meet in a unit of their own.
+    """
+    rest = buckets.where("cls <> lead").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    rest = scratch.save(rest.select("key", "cls", F.coalesce("label", "cls").alias("label")), "labelled")
+    torn = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c")).where("lo <> hi")
+    torn = scratch.save(torn.select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "torn")
+    side = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    dealt = rest.join(torn, "key").withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = dealt.select("key", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"), "cls", "label", "side")
+    units = units.join(classes.select("cls", "n", "sketch"), "cls")
+    return (units.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "side")
+            .mapInArrow(_crossed, "a long, b long").distinct())
