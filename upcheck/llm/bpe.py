@@ -1,10 +1,10 @@
 """Byte-level BPE encoding and decoding, long texts by tree concatenation.
 
 A text of up to ``LEAF`` characters is encoded as it is.  A longer one is halved
-until its parts are that short; the parts are rows of their own and are encoded
-wherever there is room.  Then halves are joined pair by pair: a window around
-the join is encoded again and grows until its outer tokens are those that the
-left and right side have there.  In BPE a sequence of tokens is right if every
+until its parts are that short; parts of a text of over ``SPREAD`` characters
+are rows of their own, encoded wherever there is room.  Then halves are joined
+pair by pair: a window around the join is encoded again and grows until its
+outer tokens are those that the left and right side have there.  In BPE a sequence of tokens is right if every
 two neighbours are, so beyond such a window nothing can change.
 
 Defined results: null and empty texts have no ids and decode to the empty text;
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from upcheck.llm import vocab
 from upcheck.llm.vocab import ByteLevel
 
-LEAF = 1 << 14
+LEAF, SPREAD = 1 << 14, 1 << 20
 #: Tokens at both ends of a window that must be as before, and tokens on each side to begin with.
 GUARD, WINDOW = 2, 8
 
@@ -59,6 +59,18 @@ def tree(parts: list[np.ndarray], bpe: ByteLevel) -> np.ndarray:
     return parts[0]
 
 
+def halves(text: str, leaf: int) -> list[str]:
+    """The leaves of the tree of halves."""
+    if len(text) <= leaf:
+        return [text]
+    middle = len(text) // 2
+    return halves(text[:middle], leaf) + halves(text[middle:], leaf)
+
+
+def encoded(text: str, bpe: ByteLevel, leaf: int = LEAF) -> np.ndarray:
+    return tree([bpe.encode(t) for t in halves(text, leaf)], bpe)
+
+
 def _list(parts: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(parts) + 1, np.int32)
     np.cumsum([len(p) for p in parts], out=offsets[1:])
@@ -70,7 +82,7 @@ def _list(parts: list[np.ndarray]) -> pa.Array:
 ROWS = 1000
 
 
-def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
+def encode(docs: DataFrame, path: str, leaf: int = LEAF, spread: int = SPREAD) -> DataFrame:
     """``(doc_id, ids)`` of rows ``(doc_id, text)`` with the vocabulary file ``path``."""
     source = docs.sparkSession.sparkContext.broadcast(vocab.read(path))
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -82,7 +94,7 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
         for batch in batches:
             for s in range(0, batch.num_rows, ROWS):
                 part = batch.slice(s, ROWS)
-                ids = _list([bpe.encode(t) for t in part.column("text").to_pylist()])
+                ids = _list([encoded(t, bpe, leaf) for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in part.schema.names if c != "text"), ids], names=[*(c for c in part.schema.names if c != "text"), "ids"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,11 +110,11 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
                 ids = tree([parts[k] for k in sorted(parts)], bpe)
                 yield pa.RecordBatch.from_arrays([pa.array([batch.column("doc_id")[s].as_py()] * copies, batch.schema.field("doc_id").type), _list([ids] * copies)], names=["doc_id", "ids"])
 
-    short = rows.where(n <= leaf).mapInArrow(run, f"doc_id {id_type}, ids array<int>")
-    count = F.pow(F.lit(2), F.ceil(F.log2(n / F.lit(leaf)))).cast("int")  # leaves of the tree of halves
+    short = rows.where(n <= spread).mapInArrow(run, f"doc_id {id_type}, ids array<int>")
+    count = F.pow(F.lit(2), F.ceil(F.log2(n / F.lit(spread)))).cast("int")  # parts of at most spread characters
     edge = lambda i: F.floor(n * i / F.col("count")).cast("int")
     cut = F.transform(F.sequence(F.lit(0), F.col("count") - 1), lambda i: F.struct(i.alias("leaf"), F.substring(F.col("text"), edge(i) + 1, edge(i + 1) - edge(i)).alias("text")))
-    leaves = (rows.where(n > leaf).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rk"), count.alias("count"))
+    leaves = (rows.where(n > spread).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rk"), count.alias("count"))
               .select("doc_id", "rk", F.explode(cut).alias("x")).select("doc_id", "rk", "x.leaf", "x.text").repartition("rk", "leaf"))
     coded = leaves.mapInArrow(run, f"doc_id {id_type}, rk long, leaf int, ids array<int>")
     long = (coded.groupBy("doc_id", "rk").agg(F.collect_list(F.struct("leaf", "ids")).alias("leaves")).drop("rk")
