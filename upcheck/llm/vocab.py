@@ -105,7 +105,7 @@ class WordLevel:
     """BPE with word ends, in lower case and without white space: ids of words, each encoded once."""
 
     #: Words kept at most, then the store starts anew.
-    KEEP = 1_500_000
+    KEEP = 250_000
 
     def __init__(self, source: str):
         spec = json.loads(source)
