@@ -2,14 +2,15 @@
 
 from upcheck.sources.csv import (
     QUOTED_EMPTY_MARKER,
+    read_csv_groups,
     read_header,
     read_upload_csv,
     write_csv,
 )
 from upcheck.sources.jdbc import jdbc_options, read_jdbc_table, jdbc_target_schema
-from upcheck.sources.storage import ensure_parallelism, materialize, write_table
+from upcheck.sources.storage import discard, materialize, tracked, write_table
 
 __all__ = [
-    "QUOTED_EMPTY_MARKER", "ensure_parallelism", "jdbc_options", "jdbc_target_schema", "materialize",
-    "read_header", "read_jdbc_table", "read_upload_csv", "write_csv", "write_table",
+    "QUOTED_EMPTY_MARKER", "discard", "jdbc_options", "jdbc_target_schema", "materialize",
+    "read_csv_groups", "read_header", "read_jdbc_table", "read_upload_csv", "tracked", "write_csv", "write_table",
 ]

@@ -7,24 +7,31 @@ recomputing the plan that produced it.
 
 from __future__ import annotations
 
-from typing import Sequence
+from contextlib import contextmanager
+from typing import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from upcheck.session import scratch_path
 
+_TRACKED: list[list[str]] = []
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a frame over at least ``min_partitions`` tasks (default: the
-    cluster's default parallelism) when its source yields fewer, e.g. a
-    single gzipped CSV or a parquet file with one row group.  Large inputs
-    already have many splits and pass through without a shuffle.
 
-    Use it on file scans: counting the partitions of a plan that contains a
-    shuffle would make AQE run that shuffle.
-    """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+@contextmanager
+def tracked() -> Iterator[list[str]]:
+    """Collect the paths that ``materialize`` writes inside the block (for ``discard``)."""
+    _TRACKED.append(paths := [])
+    try:
+        yield paths
+    finally:
+        _TRACKED.remove(paths)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete materialised folders; frames that read them are of no use afterwards."""
+    while paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
@@ -40,5 +47,7 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] | None = N
     """Write ``df`` below the shared folder and return a DataFrame reading it."""
     spark = df.sparkSession
     path = scratch_path(spark, "materialized", name)
+    for paths in _TRACKED:
+        paths.append(path)
     write_table(df, path, partition_by=partition_by)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
