@@ -4,9 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from upcheck.operators.reconcile import (ReconcileSpec, UnresolvedConflictError, assert_resolved,
-                                         conflict_audit, exact_mismatches, reconcile, residual,
-                                         align_authority)
+from upcheck.operators.reconcile import (ReconcileSpec, UnresolvedConflictError, align_authority, assert_resolved, assert_resolved_metrics, conflict_audit, exact_mismatches, reconcile, residual)
 
 SPEC = ReconcileSpec("id", ("sequence_id", "run", "antigen"), "sample_id", ("alias", "run", "antigen"))
 AUTH_SCHEMA = T.StructType([T.StructField("sample_id", T.StringType()),
@@ -167,3 +165,30 @@ def test_observed_residual_equals_full_recheck(spark):
     assert rec.metrics.get["unresolved_rows"] == residual(rec.clean, auth, SPEC).count() == 2
     with pytest.raises(UnresolvedConflictError):
         assert_resolved_metrics(rec)
+
+
+def test_fractional_authority_value_is_a_conflict(spark):
+    up = spark.createDataFrame([("P1", "S1", 1, "A")], "id string, sequence_id string, run bigint, antigen string")
+    auth = spark.createDataFrame([("P1", "S1", 1.5, "A")], "id string, sequence_id string, run double, antigen string")
+    spec = ReconcileSpec("id", ("sequence_id", "run", "antigen"), "id", ("sequence_id", "run", "antigen"))
+    audit = reconcile(up, auth, spec).audit.collect()
+    assert [r.conflict_columns for r in audit] == [["run"]]
+    with pytest.raises(UnresolvedConflictError):
+        reconcile(up, auth, spec, on_unresolvable="fail")
+
+
+def test_missing_metric_is_an_error(spark):
+    class Rec:
+        class metrics:
+            get = {}
+    with pytest.raises(KeyError):
+        assert_resolved_metrics(Rec)
+
+
+def test_scopes_are_uploads_of_their_own(spark):
+    up = spark.createDataFrame([("a", "P1", "S9", 1, "A"), ("b", "P1", "S1", 1, "A")], "file string, id string, sequence_id string, run int, antigen string")
+    auth = spark.createDataFrame([("P1", "S1", 1, "A"), ("P1", "S2", 1, "A")], "id string, sequence_id string, run int, antigen string")
+    spec = ReconcileSpec("id", ("sequence_id", "run", "antigen"), "id", ("sequence_id", "run", "antigen"), scope=("file",))
+    rec = reconcile(up, auth, spec)
+    assert sorted((r.file, r.sequence_id) for r in rec.clean.collect()) == [("a", "S1"), ("a", "S2"), ("b", "S1")]
+    assert [(r.file, r.sequence_id) for r in rec.audit.collect()] == [("a", "S9")]

@@ -3,13 +3,12 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_reconcile_model import AU, SPEC, UP, model
 from upcheck.operators.reconcile import reconcile
-from upcheck.operators.skew import SkewPolicy, repeat_rows, skew_join
-from upcheck.operators.validate import TokenRule, validate_tokens
-
-LOW = SkewPolicy(min_rows=200, rows_per_bucket=100, max_buckets=16, max_keys=10, sample_fraction=1.0)
+from upcheck.operators.skew import keyed_join, repeat_rows
+from upcheck.operators.validate import TokenRule, quarantine_by_key, validate_tokens
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",          # force shuffled joins
@@ -46,19 +45,50 @@ def _data():
     return upload, auth
 
 
-def test_detect_bounded(spark):
-    df = spark.createDataFrame([("HOT",)] * 1000 + [("P1",)] * 10 + [("WARM",)] * 250, "id string")
-    pol = SkewPolicy(min_rows=200, rows_per_bucket=100, max_buckets=8, max_keys=1, sample_fraction=1.0)
-    assert pol.detect(df, "id") == [("HOT", 8)]
+def _tasks(spark, out, path, where):
+    """How many tasks wrote rows that ``where`` holds for."""
+    out.write.parquet(path)
+    return spark.read.parquet(path).where(where).select(F.col("_metadata.file_path").alias("f")).distinct().count()
 
 
-def test_skew_join_keeps_results(spark):
-    big = spark.createDataFrame([("H", i) for i in range(500)] + [("a", 1), (None, 2)], "k string, v int")
-    small = spark.createDataFrame([("H", 10), ("H", 11), ("a", 12), ("b", 13)], "k string, w int")
+def test_keyed_join_is_the_plain_join(spark):
+    big = spark.createDataFrame([("H", i) for i in range(500)] + [("a", 1), (None, 2), (None, 2)], "k string, v int")
+    small = spark.createDataFrame([("H", 10), ("H", 11), ("a", 12), ("b", 13), (None, 14)], "k string, w int")
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = sorted(map(str, big.join(small, "k", how).collect()))
-        salted = sorted(map(str, skew_join(big, small, "k", how, [("H", 7)]).collect()))
-        assert plain == salted, how
+        assert plain == sorted(map(str, keyed_join(big, small, "k", how).collect())), how
+
+
+def test_null_keys_spread(spark, skew_conf, scratch):
+    spark.range(6000).selectExpr("case when id % 3 = 0 then null else id end as k", "id as v").repartition(8).write.parquet(f"{scratch}/big")
+    spark.range(100).selectExpr("id as k", "id as w").write.parquet(f"{scratch}/small")
+    out = keyed_join(spark.read.parquet(f"{scratch}/big"), spark.read.parquet(f"{scratch}/small"), "k", "left")
+    assert out.where("k is null").count() == 2000
+    assert _tasks(spark, out, f"{scratch}/out", "k is null") > 4
+
+
+def test_hot_key_of_a_written_table_is_split(spark, skew_conf, scratch):
+    spark.range(30000).selectExpr("case when id % 3 = 0 then -1 else id end as k", "sha2(cast(id as string), 512) as v").repartition(8).write.parquet(f"{scratch}/big")
+    spark.range(-1, 100).selectExpr("id as k", "id as w").write.parquet(f"{scratch}/small")
+    out = keyed_join(spark.read.parquet(f"{scratch}/big"), spark.read.parquet(f"{scratch}/small"), "k", "left")
+    assert out.where("k = -1 and w = -1").count() == 10000
+    assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert _tasks(spark, out, f"{scratch}/out", "k = -1") > 1
+
+
+def test_hot_id_on_the_authority_side(spark, skew_conf):
+    upload = [("HOT", "S9", 1, "A", 1), ("P1", "S1", 1, "A", 2)]
+    auth = [("HOT", f"S{i}", 1, "A") for i in range(10, 1500)] + [("P1", "S1", 1, "A")]
+    rec = reconcile(spark.createDataFrame(upload, UP), spark.createDataFrame(auth, AU), SPEC)
+    exp_clean, exp_audit = model(upload, auth)
+    assert Counter(tuple(r) for r in rec.clean.collect()) == exp_clean
+    assert Counter((tuple(r)[:4], tuple(r.conflict_columns)) for r in rec.audit.collect()) == exp_audit
+
+
+def test_quarantine_by_key_keeps_null_keys(spark, skew_conf):
+    df = spark.createDataFrame([("H", i) for i in range(300)] + [(None, i) for i in range(300)] + [("a", 1)], "k string, v int")
+    kept = quarantine_by_key(df, df.where("k = 'H'"), "k")
+    assert Counter(r.k for r in kept.collect()) == {None: 300, "a": 1}
 
 
 def test_repeat_rows_bounded(spark):
@@ -67,11 +97,9 @@ def test_repeat_rows_bounded(spark):
     assert got == {"a": 1, "b": 5, "c": 100, "d": 37}
 
 
-@pytest.mark.parametrize("policy", [None, LOW], ids=["default", "salted"])
-def test_hot_id_reconcile_matches_model(spark, skew_conf, policy):
+def test_hot_id_reconcile_matches_model(spark, skew_conf):
     upload, auth = _data()
-    kw = {} if policy is None else {"skew": policy}
-    rec = reconcile(spark.createDataFrame(upload, UP), spark.createDataFrame(auth, AU), SPEC, **kw)
+    rec = reconcile(spark.createDataFrame(upload, UP), spark.createDataFrame(auth, AU), SPEC)
     clean = rec.clean
     got = Counter(tuple(r) for r in clean.collect())
     exp_clean, exp_audit = model(upload, auth)
@@ -79,25 +107,13 @@ def test_hot_id_reconcile_matches_model(spark, skew_conf, policy):
     assert sum(1 for k in got.elements() if k[0] == "HOT") == 2000   # 1000 rows x 2 authority rows
     plan = clean._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
-    if policy is not None:
-        assert "__sk_salt" in plan       # the hot id was salted
     got_audit = Counter((tuple(r)[:4], tuple(r.conflict_columns)) for r in rec.audit.collect())
     assert got_audit == exp_audit
 
 
-@pytest.mark.parametrize("policy", [None, LOW], ids=["default", "salted"])
-def test_hot_id_quarantine(spark, skew_conf, policy):
+def test_hot_id_quarantine(spark, skew_conf):
     rows = [("HOT", "ACD" if i % 500 else "AC1", "x") for i in range(3000)] + \
            [(f"P{i}", "ACD", "x") for i in range(6000)] + [("Q1", "AC1", "x")]
     df = spark.createDataFrame(rows, "id string, s string, t string")
-    kw = {} if policy is None else {"skew": policy}
-    clean, audit = validate_tokens(df, None, TokenRule(("s",), "ACDEFGHIKLMNPQRSTVWY"), "id", ("id",), **kw)
+    clean, audit = validate_tokens(df, None, TokenRule(("s",), "ACDEFGHIKLMNPQRSTVWY"), "id", ("id",))
     assert clean.count() == 6000 and audit.count() == 7
-
-
-def test_sampled_detection_finds_a_third(spark):
-    rows = [("HOT",)] * 10000 + [(f"P{i}",) for i in range(20000)]
-    df = spark.createDataFrame(rows, "id string")
-    pol = SkewPolicy(min_rows=5000, rows_per_bucket=1000, max_buckets=64, max_keys=5, sample_fraction=0.1)
-    hot = pol.detect(df, "id")
-    assert [k for k, _ in hot] == ["HOT"] and 5 <= hot[0][1] <= 15

@@ -23,7 +23,6 @@ from upcheck.operators.reconcile import (
     Reconciled,
     UnresolvedConflictError,
     align_authority,
-    apply_authority,
     assert_resolved,
     assert_resolved_metrics,
     conflict_audit,
@@ -33,23 +32,22 @@ from upcheck.operators.reconcile import (
     residual,
     unknown_ids,
 )
-from upcheck.operators.skew import DEFAULT_SKEW, SkewPolicy, repeat_rows, skew_join
+from upcheck.operators.skew import keyed_join, repeat_rows
 from upcheck.operators.validate import (
     TokenRule,
     clean_tokens,
     flag_tokens,
     invalid_columns,
-    split_flagged,
     quarantine_by_key,
     validate_tokens,
 )
 
 __all__ = [
-    "AUDIT_FLAG_COL", "AUDIT_LIST_COL", "ReconcileSpec", "Reconciled", "SkewPolicy", "SchemaCheck",
+    "AUDIT_FLAG_COL", "AUDIT_LIST_COL", "ReconcileSpec", "Reconciled", "SchemaCheck",
     "SchemaMismatchError", "TokenRule", "UnresolvedConflictError", "align_authority",
-    "apply_authority", "assert_resolved", "assert_resolved_metrics", "audit_schema", "check_schema", "clean_tokens",
-    "conflict_audit", "conflict_status", "flag_tokens", "split_flagged", "drop_all_null", "empty_audit", "exact_mismatches",
+    "assert_resolved", "assert_resolved_metrics", "audit_schema", "check_schema", "clean_tokens",
+    "conflict_audit", "conflict_status", "flag_tokens", "drop_all_null", "empty_audit", "exact_mismatches",
     "invalid_columns", "lookup_audit", "normalise_columns", "normalised_names",
     "quarantine_by_key", "reconcile", "residual", "schema_report", "summarize_audit",
-    "union_audit", "unknown_ids", "validate_tokens", "DEFAULT_SKEW", "repeat_rows", "skew_join",
+    "union_audit", "unknown_ids", "validate_tokens", "repeat_rows", "keyed_join",
 ]

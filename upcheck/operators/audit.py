@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from upcheck.sources.storage import materialize
+
 AUDIT_LIST_COL = "conflict_columns"
 AUDIT_FLAG_COL = "resolved"
 
@@ -64,6 +66,12 @@ def summarize_audit(audit: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def unknown_id_report(unknown: DataFrame, id_col: str, n: int = 20) -> DataFrame:
+    """``(id, n_unknown)``: the first ``n`` of distinct unknown ids, each beside the number of all of them."""
+    ids = materialize(unknown.select(id_col).where(F.col(id_col).isNotNull()).distinct(), "unknown_ids")
+    return ids.orderBy(id_col).limit(n).withColumn("n_unknown", F.lit(ids.count()).cast("long"))
+
+
 def sample_ids(audit: DataFrame, id_col: str, n: int = 20) -> list:
     """A bounded sample of offending ids for a log line (never an unbounded collect)."""
     return [r[0] for r in audit.select(id_col).where(F.col(id_col).isNotNull()).limit(n).collect()]

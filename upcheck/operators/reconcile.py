@@ -20,11 +20,15 @@ Plan shape (all declarative, Catalyst/AQE choose the physical joins):
    memory than any other.
 3. one join of the upload, keyed by id, with the per-id status extended by
    the authority rows of the conflicting known ids splits the rows into
-   kept / dropped / rebuilt.  AQE broadcasts that side when it measures it
-   small; hot ids (found from a bounded sample) are salted otherwise.
+   kept / dropped / rebuilt.  That side is written first (it holds only ids
+   that conflict): AQE broadcasts it when it measures it small, and splits
+   hot ids of the upload otherwise (``skew``).
 4. the audit is the conflicting tuples of listed ids repeated by their
    counts (bounded arrays) - no second pass over the upload.
 
+With ``scope`` columns in the spec (say, the file a row came from) each scope
+is an upload of its own: statuses, rebuilds and the audit are per (scope, id).
+
 Nulls never match in any join (plain equality), as in the source semantics:
 a null attribute always conflicts, a null id is never known.
 """
@@ -33,13 +37,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from typing import Callable, Sequence
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from upcheck.operators.audit import AUDIT_LIST_COL, as_audit
-from upcheck.operators.skew import DEFAULT_SKEW, SkewPolicy, repeat_rows, skew_join
+from upcheck.operators.skew import keyed_join, repeat_rows
+from upcheck.sources.storage import materialize
 
 # internal column names (prefixed so they cannot clash with upload columns)
 _CNAME = "__uc_col"
@@ -48,6 +54,9 @@ _HIT = "__uc_hit"
 _ANYNULL = "__uc_anynull"
 _UNKNOWN = "__uc_unknown"
 _FLAG = "__uc_f"
+_FIX = "__uc_a"
+_FIXED = "__uc_fix"
+_BAD = "__uc_bad"
 
 
 class UnresolvedConflictError(RuntimeError):
@@ -67,6 +76,7 @@ class ReconcileSpec:
     attr_cols: tuple[str, ...]
     authority_id: str
     authority_attrs: tuple[str, ...]
+    scope: tuple[str, ...] = ()
 
     def __post_init__(self):
         if len(self.attr_cols) != len(self.authority_attrs):
@@ -76,6 +86,15 @@ class ReconcileSpec:
     def keys(self) -> tuple[str, ...]:
         return (self.id_col, *self.attr_cols)
 
+    @property
+    def ids(self) -> tuple[str, ...]:
+        """What one status is for: the id, within its scope."""
+        return (*self.scope, self.id_col)
+
+    @property
+    def audit_keys(self) -> tuple[str, ...]:
+        return (*self.scope, *self.keys)
+
 
 @dataclass
 class Reconciled:
@@ -83,18 +102,25 @@ class Reconciled:
     audit: DataFrame          # one row per conflicting upload row (audit schema)
     unresolved: DataFrame     # rows of ``clean`` that still cannot match (null id, null authority value)
     metrics: Observation      # rows, replaced_rows, unresolved_rows (after an action on ``clean``)
-    hot_ids: list | None = None  # ids salted in the joins (bounded list)
 
 
 def align_authority(authority: DataFrame, spec: ReconcileSpec,
                     upload: DataFrame | None = None) -> DataFrame:
-    """Project the authority onto the upload's identity names (and types)."""
+    """Project the authority onto the upload's identity names (and types).
+
+    A number that the upload's type cannot hold exactly (1.5 as an integer)
+    becomes null, so it matches nothing: a value is never bent until it fits.
+    """
     types = {f.name: f.dataType for f in upload.schema.fields} if upload is not None else {}
+    have = {f.name: f.dataType for f in authority.schema.fields}
     cols = []
     for src, dst in zip((spec.authority_id, *spec.authority_attrs), spec.keys):
         c = F.col(src)
-        if dst in types:
-            c = c.cast(types[dst])
+        if dst in types and types[dst] != have[src]:
+            cast = c.try_cast(types[dst])
+            if isinstance(have[src], T.NumericType) and isinstance(types[dst], T.NumericType):
+                cast = F.when(cast.cast(have[src]) == c, cast)
+            c = cast
         cols.append(c.alias(dst))
     return authority.select(*cols)
 
@@ -105,29 +131,23 @@ def exact_mismatches(upload: DataFrame, authority: DataFrame, keys: Sequence[str
     return upload.select(*keys).join(authority.select(*keys), keys, "left_anti")
 
 
-def conflict_tuples(upload: DataFrame, authority: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct conflicting identity tuples (set form of ``exact_mismatches``)."""
-    keys = list(keys)
-    return upload.select(*keys).distinct().join(authority.select(*keys).distinct(), keys, "left_anti")
-
-
 def unknown_ids(upload: DataFrame, authority: DataFrame, id_col: str) -> DataFrame:
     """Distinct upload ids absent from the authority (a null id is never known)."""
     return (upload.select(id_col).distinct()
             .join(authority.select(id_col).distinct(), id_col, "left_anti"))
 
 
-def _entries(df: DataFrame, spec: ReconcileSpec, with_nullflag: bool) -> DataFrame:
+def _entries(df: DataFrame, spec: ReconcileSpec, ids: Sequence[str], with_nullflag: bool) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(k).alias(_CNAME), F.col(k).cast("string").alias(_VALUE))
                       for k in spec.keys])
-    cols = [F.col(spec.id_col)]
+    cols = [F.col(c) for c in ids]
     if with_nullflag:
         cols.append(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys]).alias(_ANYNULL))
     return df.select(*cols, F.inline(pairs))
 
 
 def conflict_status(conflicts: DataFrame, authority: DataFrame, spec: ReconcileSpec) -> DataFrame:
-    """Per conflicting id: ``(id, __uc_unknown, conflict_columns)``.
+    """Per conflicting id: ``(scope..., id, __uc_unknown, conflict_columns)``.
 
     * unknown id -> ``[id]``, plus every attribute when one of the id's
       conflicting rows has a null identity value (such a row cannot be set
@@ -137,24 +157,22 @@ def conflict_status(conflicts: DataFrame, authority: DataFrame, spec: ReconcileS
     * an id whose values all occur, but never together in one authority row,
       gets an empty list: it is rebuilt, but not audited.
 
-    ``conflicts`` holds conflicting identity tuples (distinct or not).  The
+    ``conflicts`` holds conflicting identity tuples (distinct or not); the
     null id, if present, forms one group.
     """
-    # grouped on the join keys, so the join below reuses this partitioning
-    entries = (_entries(conflicts, spec, with_nullflag=True)
-               .groupBy(spec.id_col, _CNAME, _VALUE).agg(F.bool_or(_ANYNULL).alias(_ANYNULL)))
+    entries = (_entries(conflicts, spec, spec.ids, with_nullflag=True)
+               .groupBy(*spec.ids, _CNAME, _VALUE).agg(F.bool_or(_ANYNULL).alias(_ANYNULL)))
     # only authority rows of ids that conflict can matter: filter before
-    # unpivoting (a broadcast semi join when the conflict set is small)
-    relevant = authority.join(conflicts.select(spec.id_col).where(F.col(spec.id_col).isNotNull())
-                              .distinct(), spec.id_col, "left_semi")
-    known = (_entries(relevant, spec, with_nullflag=False)
+    # unpivoting.  Both sides are plain rows, so AQE can split a hot id of the
+    # authority; duplicates on the right of a semi join do no harm
+    relevant = authority.join(conflicts.select(spec.id_col), spec.id_col, "left_semi")
+    known = (_entries(relevant, spec, [spec.id_col], with_nullflag=False)
              .where(F.col(_VALUE).isNotNull())
              .distinct()
              .withColumn(_HIT, F.lit(True)))
-    on = [spec.id_col, _CNAME, _VALUE]
     miss = F.col(_HIT).isNull()
-    flags = (entries.join(known, on, "left")
-             .groupBy(spec.id_col)
+    flags = (entries.join(known, [spec.id_col, _CNAME, _VALUE], "left")
+             .groupBy(*spec.ids)
              .agg(F.bool_or((F.col(_CNAME) == spec.id_col) & miss).alias(_UNKNOWN),
                   F.bool_or(_ANYNULL).alias(_ANYNULL),
                   *[F.bool_or((F.col(_CNAME) == k) & miss).alias(f"{_FLAG}{i}")
@@ -164,144 +182,142 @@ def conflict_status(conflicts: DataFrame, authority: DataFrame, spec: ReconcileS
     known_list = F.array(*[F.when(F.col(f"{_FLAG}{i}"), F.lit(k))
                            for i, k in enumerate(spec.attr_cols)])
     lst = F.array_compact(F.when(F.col(_UNKNOWN), unknown_list).otherwise(known_list))
-    return flags.select(spec.id_col, _UNKNOWN, lst.alias(AUDIT_LIST_COL))
+    return flags.select(*spec.ids, _UNKNOWN, lst.alias(AUDIT_LIST_COL))
 
 
 def _resolved_flag(spec: ReconcileSpec) -> Column:
     return F.when(F.array_contains(AUDIT_LIST_COL, spec.id_col), F.lit("no")).otherwise(F.lit("yes"))
 
 
-def _audit_rows(ck_counts: DataFrame, status: DataFrame, spec: ReconcileSpec,
-                hot_ids: list | None) -> DataFrame:
+def _audit_rows(tuples: DataFrame, status: DataFrame, spec: ReconcileSpec) -> DataFrame:
     """One audit row per conflicting upload row, built from the conflicting
     tuples and their row counts (no second pass over the upload): each tuple
     of an id with a non-empty list is repeated as often as it occurs."""
-    keys = list(spec.keys)
-    listed = status.where(F.size(AUDIT_LIST_COL) > 0).select(spec.id_col, AUDIT_LIST_COL)
-    tuples = skew_join(ck_counts, listed, spec.id_col, "inner", hot_ids)
-    return as_audit(repeat_rows(tuples, "count"), keys, F.col(AUDIT_LIST_COL), _resolved_flag(spec))
+    listed = status.where(F.size(AUDIT_LIST_COL) > 0).select(*spec.ids, AUDIT_LIST_COL)
+    rows = tuples.where(F.col(spec.id_col).isNotNull()).join(listed, list(spec.ids))
+    return as_audit(repeat_rows(rows, "count"), spec.audit_keys, F.col(AUDIT_LIST_COL), _resolved_flag(spec))
 
 
-def _tuple_counts(upload: DataFrame, auth: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows per identity tuple (partial aggregation: hot copies collapse
-    map-side), and the conflicting tuples among them with their counts."""
-    keys = list(keys)
-    counts = upload.groupBy(*keys).count()
-    return counts, counts.join(auth.select(*keys).distinct(), keys, "left_anti")
+@dataclass
+class Conflicts:
+    """The narrow, written tables that decide everything about an upload's ids."""
+
+    authority: DataFrame  # aligned
+    tuples: DataFrame     # conflicting identity tuples with their number of rows
+    status: DataFrame     # per conflicting non-null id
+
+    def audit(self, spec: ReconcileSpec) -> DataFrame:
+        return _audit_rows(self.tuples, self.status, spec)
+
+    def fixes(self, spec: ReconcileSpec) -> DataFrame:
+        """``(scope..., id, __uc_a0...)``: the authority rows of conflicting known ids."""
+        known = self.status.where(~F.col(_UNKNOWN)).select(*spec.ids)
+        values = self.authority.select(spec.id_col, *[F.col(k).alias(f"{_FIX}{i}") for i, k in enumerate(spec.attr_cols)])
+        return known.join(values, spec.id_col)
+
+
+def find_conflicts(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec) -> Conflicts:
+    """Compare identity tuples (one narrow pass; hot copies collapse before the
+    shuffle) and write the conflicting ones and their ids' status."""
+    auth = align_authority(authority, spec, upload)
+    keys = list(spec.keys)
+    counts = upload.groupBy(*spec.audit_keys).count()
+    tuples = materialize(counts.join(auth.select(*keys).distinct(), keys, "left_anti"), "conflict_tuples")
+    status = conflict_status(tuples, auth, spec).where(F.col(spec.id_col).isNotNull())
+    return Conflicts(auth, tuples, materialize(status, "conflict_status"))
 
 
-def conflict_audit(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
-                   aligned: bool = False, skew: SkewPolicy | None = DEFAULT_SKEW) -> DataFrame:
+def conflict_audit(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec) -> DataFrame:
     """Audit rows for every conflicting upload row (no row-level rebuild)."""
-    auth = authority if aligned else align_authority(authority, spec, upload)
-    _, ck_counts = _tuple_counts(upload, auth, spec.keys)
-    status = conflict_status(ck_counts.select(*spec.keys), auth, spec)
-    hot_ids = skew.detect(upload, spec.id_col) if skew else None
-    rows = _audit_rows(ck_counts, status.where(F.col(spec.id_col).isNotNull()), spec, hot_ids)
+    found = find_conflicts(upload, authority, spec)
     # a null id is never known and never equal to anything: each such row
     # conflicts on every identity column
-    null_rows = repeat_rows(ck_counts.where(F.col(spec.id_col).isNull()), "count")
+    null_rows = repeat_rows(found.tuples.where(F.col(spec.id_col).isNull()), "count")
     every = F.array(*[F.lit(k) for k in spec.keys])
-    return rows.unionByName(as_audit(null_rows, list(spec.keys), every, F.lit("no")))
+    return found.audit(spec).unionByName(as_audit(null_rows, spec.audit_keys, every, F.lit("no")))
+
+
+def per_id_table(found: Conflicts, spec: ReconcileSpec, more: DataFrame | None = None) -> DataFrame:
+    """Per conflicting id one row (unknown) or its authority rows (known); ids
+    of ``more`` (``(scope..., id, flags...)``) are joined in.  Written: it is the one
+    table that upload rows meet."""
+    ids = list(spec.ids)
+    fixes = found.fixes(spec).withColumn(_FIXED, F.lit(True))
+    table = found.status.select(*ids, _UNKNOWN).join(fixes, ids, "left")
+    return materialize(table if more is None else table.join(more, ids, "full"), "per_id")
+
+
+def rebuilt(rows: DataFrame, table: DataFrame, spec: ReconcileSpec) -> DataFrame:
+    """``rows`` and the columns of ``table`` (``per_id_table``): rows of unknown ids
+    are dropped; a row of a conflicting known id meets every authority row of
+    its id and takes their identity values (n rows and m of the authority make
+    n*m).  ``__uc_fix`` says which were rebuilt, ``__uc_bad`` which can never match."""
+    joined = keyed_join(rows, table, spec.ids, "left").where(~F.coalesce(F.col(_UNKNOWN), F.lit(False)))
+    fix = F.coalesce(F.col(_FIXED), F.lit(False))
+    place = {k: i for i, k in enumerate(spec.attr_cols)}
+    more = [c for c in table.columns if c not in spec.ids and not c.startswith(_FIX) and c not in (_UNKNOWN, _FIXED)]
+    out = joined.select(
+        *[F.when(fix, F.col(f"{_FIX}{place[c]}")).otherwise(F.col(c)).alias(c) if c in place else F.col(c)
+          for c in rows.columns], *more, fix.alias(_FIXED))
+    bad = F.col(spec.id_col).isNull() | (F.col(_FIXED) & reduce(
+        lambda a, b: a | b, [F.col(k).isNull() for k in spec.attr_cols]))
+    return out.withColumn(_BAD, bad)
 
 
-def apply_authority(rows: DataFrame, authority: DataFrame, spec: ReconcileSpec,
-                    columns: Sequence[str]) -> DataFrame:
-    """Rebuild rows from the authority: identity values come from every
-    authority row of the id, the other columns from the upload row (an id
-    with m authority rows and n upload rows gives n*m rows)."""
-    payload = [c for c in columns if c not in spec.keys]
-    return (rows.select(spec.id_col, *payload)
-            .join(authority, spec.id_col, "inner")
-            .select(*columns))
+def count_unresolvable(found: Conflicts, spec: ReconcileSpec) -> int:
+    """Identity tuples that can never match: a null id, or a conflicting id one
+    of whose authority rows has a null attribute.  Reads narrow tables only."""
+    nulls = found.tuples.where(F.col(spec.id_col).isNull())
+    any_null = reduce(lambda a, b: a | b, [F.col(f"{_FIX}{i}").isNull() for i in range(len(spec.attr_cols))])
+    return nulls.count() + found.fixes(spec).where(any_null).count()
 
 
-def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
-              on_unresolvable: str = "fail",
-              stage: Callable[[DataFrame, str], DataFrame] | None = None,
-              skew: SkewPolicy | None = DEFAULT_SKEW) -> Reconciled:
-    """Compare identity columns with the authority; return clean rows and the audit.
-
-    ``on_unresolvable``: ``'fail'`` keeps rows that can never match (null id,
-    or an authority row with a null value used for a rebuild) in ``clean`` and
-    lists them in ``unresolved`` for :func:`assert_resolved`; ``'quarantine'``
-    moves them from ``clean`` into the audit with ``resolved='no'``.
-
-    ``skew`` decides which ids count as hot and get salted (``None``: plain
-    joins); hot ids are found eagerly from a sample of the id column.
-
-    ``stage(df, name)`` may materialise or persist the two small
-    intermediate tables (conflicting tuples, per-id status) so that the clean
-    rows and the audit, when computed by separate actions, share them.
-
-    The clean rows come from one pass over the upload: one left join, keyed
-    by id, with the per-id status extended by the authority rows of the
-    conflicting known ids (so the upload is shuffled at most once, not at all
-    when AQE broadcasts that side, and a hot id's partition can be split).  A row of a
-    non-conflicting id meets no authority row and is kept as it is; a row of
-    a conflicting id meets every authority row of its id and takes their
-    identity values; rows of unknown ids are dropped.
-    """
-    if on_unresolvable not in ("fail", "quarantine"):
-        raise ValueError("on_unresolvable must be 'fail' or 'quarantine'")
-    auth = align_authority(authority, spec, upload)
+def quarantine_rows(rows: DataFrame, spec: ReconcileSpec) -> DataFrame:
+    """Audit rows for ``rows`` (with ``__uc_bad``) that can never match."""
     keys = list(spec.keys)
-    columns = list(upload.columns)
-    id_col = spec.id_col
-
-    stage = stage or (lambda df, name: df)
-    counts, ck_counts = _tuple_counts(upload, auth, keys)
-    ck_counts = stage(ck_counts, "conflict_tuples")
-    status = stage(conflict_status(ck_counts.select(*keys), auth, spec)
-                   .where(F.col(id_col).isNotNull()), "conflict_status")
-    hot_ids = skew.detect(upload, id_col) if skew else None
-
-    fix_ids = status.where(~F.col(_UNKNOWN)).select(id_col)
-    fixes = (auth.join(fix_ids, id_col, "left_semi")
-             .select(id_col, *[F.col(k).alias(f"__uc_a{i}") for i, k in enumerate(spec.attr_cols)])
-             .withColumn("__uc_fix", F.lit(True)))
-    # per conflicting id: one row (unknown) or its m authority rows (known);
-    # the upload meets it in a single id-keyed join (broadcast by AQE when
-    # small; hot ids salted otherwise)
-    per_id = status.select(id_col, _UNKNOWN).join(fixes, id_col, "left")
-    joined = (skew_join(upload, per_id, id_col, "left", hot_ids)
-              .where(~F.coalesce(F.col(_UNKNOWN), F.lit(False))))
-    fix = F.coalesce(F.col("__uc_fix"), F.lit(False))
-    attr_pos = {k: i for i, k in enumerate(spec.attr_cols)}
-    rows = joined.select(
-        *[F.when(fix, F.col(f"__uc_a{attr_pos[c]}")).otherwise(F.col(c)).alias(c) if c in attr_pos
-          else F.col(c) for c in columns],
-        fix.alias("__uc_fix"))
-
-    # rows that can never match the authority after the rebuild: a null id
-    # (kept, never known) or a rebuilt row with a null authority value.  Every
-    # other kept row matched exactly already (else its id would conflict).
-    bad = F.col(id_col).isNull() | (F.col("__uc_fix") & reduce(
-        lambda a, b: a | b, [F.col(k).isNull() for k in spec.attr_cols]))
+    null_list = F.array_compact(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys]))
+    every = F.array(*[F.lit(k) for k in keys])
+    return as_audit(rows.where(F.col(_BAD)), spec.audit_keys,
+                    F.when(F.col(spec.id_col).isNull(), every).otherwise(null_list), F.lit("no"))
 
-    obs = Observation()  # unique name: reconciled frames may be reconciled again
-    both = rows.observe(
+
+def observed(rows: DataFrame, obs: Observation) -> DataFrame:
+    """Count rows, rebuilt rows and rows that can never match while they pass."""
+    return rows.observe(
         obs,
         F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(F.col("__uc_fix"), 1)).alias("replaced_rows"),
-        F.count(F.when(bad, 1)).alias("unresolved_rows"))
+        F.count(F.when(F.col(_FIXED), 1)).alias("replaced_rows"),
+        F.count(F.when(F.col(_BAD), 1)).alias("unresolved_rows"))
+
 
-    audit = _audit_rows(ck_counts, status, spec, hot_ids)
+def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
+              on_unresolvable: str = "keep") -> Reconciled:
+    """Compare identity columns with the authority; return clean rows and the audit.
 
+    ``on_unresolvable``: ``'fail'`` raises at once when a row can never match
+    (null id, or a rebuild from an authority row with a null value), decided
+    from the narrow tables; ``'keep'`` keeps such rows in ``clean`` and lists
+    them in ``unresolved`` too; ``'quarantine'`` moves them from ``clean`` into
+    the audit with ``resolved='no'``.
+
+    The conflicting tuples and the per-id table are written (they hold
+    conflicting ids only).  The clean rows are then lazy: one pass over the
+    upload with one join by id.
+    """
+    if on_unresolvable not in ("fail", "keep", "quarantine"):
+        raise ValueError("on_unresolvable must be 'fail', 'keep' or 'quarantine'")
+    found = find_conflicts(upload, authority, spec)
+    if on_unresolvable == "fail" and (n := count_unresolvable(found, spec)):
+        raise _unresolved_error(n)
+    obs = Observation()  # unique name: reconciled frames may be reconciled again
+    rows = rebuilt(upload, per_id_table(found, spec), spec)
+    both = observed(rows, obs)
+    audit = found.audit(spec)
     if on_unresolvable == "quarantine":
-        unres = both.where(bad)
-        null_list = F.array_compact(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys]))
-        quarantined = as_audit(unres, keys,
-                               F.when(F.col(id_col).isNull(),
-                                      F.array(*[F.lit(k) for k in keys])).otherwise(null_list),
-                               F.lit("no"))
-        audit = audit.unionByName(quarantined)
-        clean = both.where(~bad).drop("__uc_fix")
-        unresolved = both.where(F.lit(False)).drop("__uc_fix")
-    else:
-        clean = both.drop("__uc_fix")
-        unresolved = both.where(bad).drop("__uc_fix")
-    return Reconciled(clean=clean, audit=audit, unresolved=unresolved, metrics=obs, hot_ids=hot_ids)
+        audit = audit.unionByName(quarantine_rows(rows, spec))
+        both = both.where(~F.col(_BAD))
+    unresolved = (rows.where(F.col(_BAD)) if on_unresolvable != "quarantine" else rows.limit(0)).select(*upload.columns)
+    return Reconciled(clean=both.select(*upload.columns), audit=audit, unresolved=unresolved, metrics=obs)
 
 
 def residual(clean: DataFrame, authority: DataFrame, spec: ReconcileSpec) -> DataFrame:
@@ -313,7 +329,7 @@ def residual(clean: DataFrame, authority: DataFrame, spec: ReconcileSpec) -> Dat
 
 def _unresolved_error(n: int) -> UnresolvedConflictError:
     return UnresolvedConflictError(
-        f"{n} row(s) still disagree with the authority after reconciliation "
+        f"{n} identity tuple(s) or row(s) still disagree with the authority after reconciliation "
         "(null id, or authority rows with null identity values)")
 
 
@@ -326,6 +342,6 @@ def assert_resolved(rec_or_rows: Reconciled | DataFrame) -> None:
 
 def assert_resolved_metrics(rec: Reconciled) -> None:
     """Raise from the metrics observed while ``rec.clean`` was computed (no extra job)."""
-    n = rec.metrics.get.get("unresolved_rows", 0)
+    n = rec.metrics.get["unresolved_rows"]  # a missing metric is an error, not a pass
     if n:
         raise _unresolved_error(n)

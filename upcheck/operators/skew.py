@@ -1,21 +1,15 @@
-"""Skew-safe joins and bounded row expansion.
+"""Joins that hot keys cannot stall, and bounded row expansion.
 
-AQE splits skewed partitions only when both join children are shuffles; the
-joins in this library meet a pre-aggregated side that is already partitioned
-by the key (a per-id status, the bad ids), so a key holding a third of all
-rows would land in one task.  ``skew_join`` salts such keys:
+A key that holds a third of all rows is one shuffle partition.  AQE splits such
+a partition of the row side of an inner, left, semi or anti join when both
+children of the sort-merge join are plain shuffles.  So the library joins rows
+only with *written* key tables (a per-id status read back from the shared
+folder), never with an aggregation in flight: no sampling, no list of hot keys
+and no salt, and the split goes by measured bytes, whichever key is hot and
+however many are.
 
-* :meth:`SkewPolicy.detect` finds hot keys from a sample of the key column
-  (one narrow scan) and returns at most ``max_keys`` of them - a bounded
-  list, so it is inlined into the plan as literals;
-* each hot key gets ``ceil(rows / rows_per_bucket)`` buckets (at most
-  ``max_buckets``); big-side rows of the key are dealt round-robin over them
-  and the small side's rows of the key are replicated once per bucket;
-* with no hot key the join is a plain join: the plan is unchanged.
-
-Every big-side row still meets exactly the small-side rows of its key, so
-inner, left outer, semi and anti joins keep their results; a missed or extra
-hot key changes speed, never results.
+Null keys match nothing, yet a plain join would send all of them to one task;
+``keyed_join`` deals them over tasks by their content.
 
 ``repeat_rows`` emits each row ``count`` times with arrays of at most
 ``fanout`` elements and spreads large counts over tasks.
@@ -23,79 +17,49 @@ hot key changes speed, never results.
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-from typing import Any
+from functools import reduce
+from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SALT = "__sk_salt"
-
-
-@dataclass(frozen=True)
-class SkewPolicy:
-    """When a key counts as hot and how far it is spread."""
-
-    min_rows: int = 1_000_000        # a key with this many rows is split
-    rows_per_bucket: int = 1_000_000  # target rows per bucket of a hot key
-    max_buckets: int = 1024           # replication cap for the small side
-    max_keys: int = 1000              # bound on the hot-key list
-    sample_fraction: float = 0.01     # share of rows sampled to find hot keys
-    seed: int = 17
-
-    def detect(self, df: DataFrame, key: str) -> list[tuple[Any, int]]:
-        """``[(key value, buckets)]`` for the hottest keys of ``df[key]`` (bounded)."""
-        frac = min(1.0, self.sample_fraction)
-        keys = df.select(key).where(F.col(key).isNotNull())
-        if frac < 1.0:
-            keys = keys.sample(False, frac, self.seed)
-        threshold = max(1, int(self.min_rows * frac))
-        rows = (keys.groupBy(key).count().where(F.col("count") >= threshold)
-                .orderBy(F.col("count").desc()).limit(self.max_keys).collect())
-        return [(r[0], max(1, min(self.max_buckets, math.ceil(r[1] / frac / self.rows_per_bucket))))
-                for r in rows]
-
+_DEAL = "__sk_deal"
 
-DEFAULT_SKEW = SkewPolicy()
 
+def keyed_join(rows: DataFrame, table: DataFrame, keys: str | Sequence[str], how: str) -> DataFrame:
+    """``rows.join(table, keys, how)`` for ``how`` in inner, left, left_semi, left_anti.
 
-def skew_join(big: DataFrame, small: DataFrame, key: str, how: str,
-              hot: list[tuple[Any, int]] | None) -> DataFrame:
-    """``big.join(small, key, how)`` with the given hot keys of ``big`` salted."""
-    if not hot:
-        return big.join(small, key, how)
-    buckets = F.create_map(*[x for k, n in hot for x in (F.lit(k), F.lit(n))])
-    n = buckets[F.col(key)]                         # null for keys that are not hot
-    salt = F.pmod(F.monotonically_increasing_id(), n.cast("long")).cast("int")
-    b = big.withColumn(_SALT, F.coalesce(salt, F.lit(0)))
-    spread = F.when(n.isNotNull(), F.sequence(F.lit(0), n - 1)).otherwise(F.array(F.lit(0)))
-    s = small.withColumn(_SALT, F.explode(spread))
-    return b.join(s, [key, _SALT], how).drop(_SALT)
+    Rows with a null key join on a second key as well, a hash of the row and of
+    the task that read it, so they spread like any others.  Both are the same
+    when a lost task runs again.  ``table`` should be a written table.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    deal = F.when(null, F.xxhash64(F.spark_partition_id(), *rows.columns)).otherwise(F.lit(0).cast("long"))
+    left = rows.withColumn(_DEAL, deal)
+    right = table.withColumn(_DEAL, F.lit(0).cast("long"))
+    return left.join(right, [*keys, _DEAL], how).drop(_DEAL)
 
 
-def repeat_rows(df: DataFrame, count_col: str, fanout: int = 65536) -> DataFrame:
+def repeat_rows(df: DataFrame, count_col: str, fanout: int = 4096) -> DataFrame:
     """Each row ``count_col`` times (bag expansion).
 
-    Arrays never exceed ``fanout`` elements: counts above ``fanout`` are cut
-    into chunks (two levels cover ``fanout**3`` copies) and the chunks are
-    dealt round-robin over tasks before they are expanded, so a tuple with a
-    third of all rows is written by many tasks.
+    Arrays never exceed ``fanout`` elements: a count is cut into chunks of
+    ``fanout`` (two levels cover ``fanout**3`` copies), and the chunks are dealt
+    round-robin over tasks before they are expanded, so a tuple with a third of
+    all rows is written by many tasks.  One pass over ``df``.
     """
     c = F.col(count_col)
     cols = [x for x in df.columns if x != count_col]
-    small = df.where(c <= fanout).select(*cols, F.explode(F.sequence(F.lit(1), c)).alias("__rr"))
-    big = df.where(c > fanout)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     outer = fanout * fanout
-    big = (big.select(*cols, c.alias("__rr_n"),
-                      F.explode(F.sequence(F.lit(0), ((c - 1) / outer).cast("long"))).alias("__rr_i"))
-           .select(*cols, F.least(F.col("__rr_n") - F.col("__rr_i") * outer, F.lit(outer)).alias("__rr_n"))
-           .repartition(parts))
-    big = (big.select(*cols, F.col("__rr_n"),
-                      F.explode(F.sequence(F.lit(0), ((F.col("__rr_n") - 1) / fanout).cast("long")))
-                      .alias("__rr_i"))
-           .select(*cols, F.least(F.col("__rr_n") - F.col("__rr_i") * fanout, F.lit(fanout)).alias("__rr_n"))
-           .repartition(parts)
-           .select(*cols, F.explode(F.sequence(F.lit(1), F.col("__rr_n"))).alias("__rr")))
-    return small.unionByName(big).drop("__rr")
+
+    def chunk(n, size):
+        """Sizes of the chunks of ``n``."""
+        number = ((n - 1) / size).cast("long")
+        return F.transform(F.sequence(F.lit(0).cast("long"), number), lambda i: F.least(n - i * size, F.lit(size).cast("long")))
+
+    big = df.where(c > 0).select(*cols, F.explode(chunk(c.cast("long"), outer)).alias("__rr_n"))
+    big = big.select(*cols, F.explode(chunk(F.col("__rr_n"), fanout)).alias("__rr_n"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (big.repartition(parts)
+            .select(*cols, F.explode(F.sequence(F.lit(1), F.col("__rr_n"))).alias("__rr")).drop("__rr"))
