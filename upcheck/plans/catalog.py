@@ -15,16 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upcheck.functions.text import extract_int
-from upcheck.operators.audit import lookup_audit, summarize_audit
-from upcheck.operators.columns import check_schema, drop_all_null, normalise_columns
+from upcheck.operators.audit import empty_audit, key_fields, lookup_audit, summarize_audit, union_audit, unknown_id_report
+from upcheck.operators.columns import check_schema, drop_all_null, normalise_columns, schema_report
 from upcheck.operators.reconcile import (ReconcileSpec, align_authority, conflict_audit,
                                          exact_mismatches, reconcile, residual, unknown_ids)
 from upcheck.operators.validate import TokenRule, clean_tokens, validate_tokens
 from upcheck.plans import fixtures as fx
 from upcheck.plans.presets import UploadPreset, sequence_columns
+from upcheck.plans.stream_demo import FILES, ingest_oracle, run_ingest, run_job
 from upcheck.plans.upload_job import audit_as_text, process_upload
 from upcheck.session import scratch_path
-from upcheck.sources.csv import read_upload_csv
+from upcheck.sources.csv import read_upload_csv, write_csv
 
 SUB_SPEC = ReconcileSpec("id", ("sequence_id", "run", "antigen"),
                          "sample_id", ("alias", "run", "antigen"))
@@ -71,8 +72,8 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fx.spark_fixture(spark, sf_dir, fx.ORDERS_CSV)
     odd = orders.toDF(*[fx.ORDERS_CSV_HEADERS[c] for c in orders.columns])
     path = scratch_path(spark, "csv_roundtrip")
-    odd.write.mode("overwrite").option("header", "true").csv(path)
-    back = normalise_columns(read_upload_csv(spark, path))
+    write_csv(odd, path)
+    back = read_upload_csv(spark, path, prepare=normalise_columns)
     return back.select(F.col("order_key").cast("bigint").alias("order_key"),
                        F.col("cust_key").cast("bigint").alias("cust_key"),
                        "order_status",
@@ -170,8 +171,47 @@ def q_upload_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from upcheck.streaming.ingest import run_ingest_demo
-    return run_ingest_demo(spark, sf_dir)
+    return run_ingest(spark, sf_dir)
+
+
+def q_stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_job(spark, sf_dir)[0]
+
+
+def q_stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_job(spark, sf_dir)[1]
+
+
+def q_csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV sink: joined lists, hostile values, white space kept."""
+    orders = fx.spark_fixture(spark, sf_dir, fx.ORDERS_CSV)
+    path = scratch_path(spark, "csv_sink")
+    write_csv(orders.select(F.col("order_key").alias("Order. Key"), F.array("order_status", "order_priority").alias("marks"), "note"), path)
+    return read_upload_csv(spark, path, prepare=normalise_columns).select(F.col("order_key").cast("bigint").alias("order_key"), "marks", "note")
+
+
+_REPORT_TARGET = ["order_key", "cust_key", "total_price", "clerk", "source_key"]
+
+
+def q_schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate's report, beside the number of values in the upload's columns."""
+    orders = fx.spark_fixture(spark, sf_dir, fx.ORDERS_CSV)
+    upload = normalise_columns(orders.toDF(*[fx.ORDERS_CSV_HEADERS[c] for c in orders.columns]))
+    counts = upload.agg(*[F.count(c).alias(c) for c in upload.columns]).unpivot([], list(upload.columns), "column_name", "n_values")
+    return schema_report(spark, upload, _REPORT_TARGET).join(counts, "column_name", "left")
+
+
+def q_audit_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits of several checks in one table, an empty one among them."""
+    sub, auth = _sub(spark, sf_dir)
+    audit = reconcile(sub, auth, SUB_SPEC).audit
+    none = empty_audit(spark, key_fields(sub, SUB_SPEC.keys))
+    return audit_as_text(union_audit(none, audit, none, audit.where("resolved = 'no'")))
+
+
+def q_unknown_id_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sub, auth = _sub(spark, sf_dir)
+    return unknown_id_report(unknown_ids(sub, align_authority(auth, SUB_SPEC, sub), "id"), "id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -197,6 +237,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_upload_clean": q_upload_clean,
     "q_upload_audit": q_upload_audit,
     "q_stream_ingest": q_stream_ingest,
+    "q_stream_clean": q_stream_clean,
+    "q_stream_audit": q_stream_audit,
+    "q_csv_sink": q_csv_sink,
+    "q_schema_report": q_schema_report,
+    "q_audit_union": q_audit_union,
+    "q_unknown_id_report": q_unknown_id_report,
 }
 
 
@@ -315,7 +361,8 @@ bad as (select distinct id from fl where cc is not null and id is not null)"""
     return audit, clean
 
 
-def _ab_oracles() -> tuple[str, str]:
+def _ab_oracles(only: str = "true") -> tuple[str, str]:
+    """Clean rows and audit of the upload's rows that ``only`` holds for."""
     p = AB_PRESET
     aa, nu = list(sequence_columns("aa")), list(sequence_columns("nu"))
     up_cols = ["mab_id", "sequence_id", "run", "antigen", "line_number", *aa, *nu]
@@ -326,7 +373,7 @@ def _ab_oracles() -> tuple[str, str]:
     aa_inv = _inv_list_sql(aa, rules[0].alphabet, rules[0].allow_null)
     nu_inv = _inv_list_sql(nu, rules[1].alphabet, rules[1].allow_null)
     cleaned = ", ".join(f"upper(trim({c})) as {c}" if c in aa or c in nu else c for c in up_cols)
-    ctes = (f"with raw as ({fx.duck_fixture(fx.AB_UPLOAD)}),\n"
+    ctes = (f"with raw as (select * from ({fx.duck_fixture(fx.AB_UPLOAD)}) u0 where {only}),\n"
             f"up as (select {up_select} from raw),\n"
             f"auth as (select sample_id, alias, {_int_sql('run')} as run, antigen "
             f"from ({fx.duck_fixture(fx.AB_AUTH)}) a0),"
@@ -350,15 +397,26 @@ select mab_id, sequence_id, run, antigen, nu_cc, 'no' from surv where nu_cc is n
     return clean, audit
 
 
-def _ingest_oracle() -> str:
-    from upcheck.streaming.ingest import ingest_demo_oracle
-    return ingest_demo_oracle()
+def _stream_job_oracles() -> tuple[str, str]:
+    """The job's oracles, file by file."""
+    parts = [_ab_oracles(f"cast(line_number as integer) % {FILES} = {f}") for f in range(FILES)]
+    return tuple("\nunion all\n".join(f"select * from ({p[i]}) f{n}" for n, p in enumerate(parts)) for i in (0, 1))
+
+
+def _schema_report_sql() -> str:
+    target, optional = _REPORT_TARGET, ["source_key"]
+    names = {**{c: c for c in fx.ORDERS_CSV_HEADERS}, "first_date": "st1_date"}
+    rows = [(n, "matched" if n in target else "extra", f"count({c})") for c, n in names.items()]
+    rows += [(c, "optional_missing" if c in optional else "missing", "max(cast(null as bigint))") for c in target if c not in names.values()]
+    source = fx.duck_fixture(fx.ORDERS_CSV)
+    return "\nunion all\n".join(f"select '{n}' as column_name, '{status}' as status, {count} as n_values from ({source}) o" for n, status, count in rows)
 
 
 def oracle_sql() -> dict[str, str]:
     seq_audit_strict, seq_clean_strict = _seq_oracles(False)
     seq_audit_null, seq_clean_null = _seq_oracles(True)
     ab_clean, ab_audit = _ab_oracles()
+    stream_clean, stream_audit = _stream_job_oracles()
     runs = fx.duck_fixture(fx.RUNS)
     part_cols = ", ".join(f"{c} as {n}" for c, n in fx.PART_CLEAN_NAMES.items())
     orders_csv = fx.duck_fixture(fx.ORDERS_CSV)
@@ -411,5 +469,12 @@ def oracle_sql() -> dict[str, str]:
         "q_quarantine_nullable": seq_clean_null,
         "q_upload_clean": ab_clean,
         "q_upload_audit": ab_audit,
-        "q_stream_ingest": _ingest_oracle(),
+        "q_stream_ingest": ingest_oracle(_int_sql),
+        "q_stream_clean": stream_clean,
+        "q_stream_audit": stream_audit,
+        "q_csv_sink": f"select order_key, concat(order_status, ';', order_priority) as marks, note from ({orders_csv}) o",
+        "q_schema_report": _schema_report_sql(),
+        "q_audit_union": f"with a as ({sub_audit}) select * from a union all select * from a where resolved = 'no'",
+        "q_unknown_id_report": (_sub_ctes(False) + "select id, count(*) over () as n_unknown from (select distinct u.id from up u where u.id is not null "
+                                "and not exists (select 1 from auth a where a.sample_id = u.id)) x order by id limit 20"),
     }

@@ -14,14 +14,12 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from upcheck.plans.presets import sequence_columns
-from upcheck.sources.storage import ensure_parallelism
 
 _PLACEHOLDER = re.compile(r"\{([a-z_]+)\}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; spread over all cores when its file has few row groups."""
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def tables_of(sql: str) -> list[str]:
@@ -64,11 +62,12 @@ select l_orderkey as id, l_linenumber as ln,
 from {lineitem} join {part} on l_partkey = p_partkey
 """
 
-# Ids repeat on both sides; identity = (id, ln, rf, ls).
+# Ids repeat on both sides; identity = (id, ln, rf, ls).  The authority differs
+# in rf from line 4 on.
 DUP_AUTH = """
 select distinct l_orderkey as id, cast(l_linenumber as bigint) as ln,
-       l_returnflag as rf, l_linestatus as ls
-from {lineitem} where l_linenumber <= 3
+       case when l_linenumber > 3 then '-' else l_returnflag end as rf, l_linestatus as ls
+from {lineitem}
 """
 
 DUP_UPLOAD = """
@@ -116,11 +115,15 @@ PART_CLEAN_NAMES = {
     "p_retailprice": "retail_price",
 }
 
-# Orders for the CSV round trip: '' and null both occur in `note`.
+# Orders for the CSV round trip: '', blanks, null, quotes, commas and backslashes
+# occur in `note`.
 ORDERS_CSV = """
 select o_orderkey as order_key, o_custkey as cust_key, o_orderstatus as order_status,
        o_totalprice as total_price, cast(cast(o_orderdate as date) as string) as first_date, o_orderpriority as order_priority,
        case when o_orderkey % 7 = 0 then '' when o_orderkey % 5 = 0 then null
+            when o_orderkey % 11 = 0 then concat('a "', o_orderstatus, '", b')
+            when o_orderkey % 13 = 0 then concat('c', chr(92), '",w', chr(92))
+            when o_orderkey % 17 = 0 then '  pad  ' when o_orderkey % 19 = 0 then '   '
             else o_orderstatus end as note
 from {orders}
 """
@@ -129,20 +132,10 @@ ORDERS_CSV_HEADERS = {
     "cust_key": "Cust-Key",
     "order_status": "Order  Status",
     "total_price": "Total-Price",
-    "first_date": "1st Date",
+    "first_date": "1st. Date",
     "order_priority": "Order Priority",
     "note": "NOTE ",
 }
-ORDERS_CSV_CLEAN = {
-    "order_key": "order_key",
-    "cust_key": "cust_key",
-    "order_status": "order_status",
-    "total_price": "total_price",
-    "first_date": "st1_date",
-    "order_priority": "order_priority",
-    "note": "note",
-}
-
 # ---------------------------------------------------------------------------
 # Antibody-shaped upload: one row per line item (ids repeat per order), the
 # four identity columns, a run written as text ('NGS<n>'), and 32 sequence

@@ -2,13 +2,13 @@
 
 from upcheck.streaming.ingest import (
     Route,
-    UnknownRouteError,
     discover_files,
     make_batch_handler,
+    read_rejected,
     read_sink,
     route_files,
     start_ingest,
 )
 
-__all__ = ["Route", "UnknownRouteError", "discover_files", "make_batch_handler",
+__all__ = ["Route", "discover_files", "make_batch_handler", "read_rejected",
            "read_sink", "route_files", "start_ingest"]
