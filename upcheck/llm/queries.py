@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer_path
 
-from upcheck.llm import bpe, host_quality, jaccard, langid, packing, pii, simhash, substring_dedup, suffix_dedup, toxicity
+from upcheck.llm import bpe, host_quality, jaccard, langid, oracles, packing, pii, simhash, substring_dedup, suffix_dedup, toxicity
 from upcheck.llm.common import Scratch
 
 
@@ -103,4 +103,9 @@ QUERIES = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op2_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op5_host_quality": oracles.HOST_QUALITY,
+    "op7_jaccard_join": oracles.JACCARD_JOIN,
+}
