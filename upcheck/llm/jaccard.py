@@ -37,6 +37,8 @@ from upcheck.llm.components import components
 SHINGLE = 5
 #: Classes of a bucket that meet in one unit; larger buckets are dealt into blocks.
 BLOCK = 2048
+#: Pairs that a task holds before it makes them distinct.
+PACK = 1 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -248,33 +250,84 @@ def _unit_pairs(cls: np.ndarray, label: np.ndarray, n: np.ndarray, side: np.ndar
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of each unit (key, p, q); rows come in order of unit and side, and a unit's are held together (at most twice BLOCK)."""
-    held: list[pa.RecordBatch] = []
+def _unique(pairs: list[np.ndarray]) -> np.ndarray:
+    """Distinct columns (a, b), a < b, of arrays of pairs."""
+    both = np.sort(np.concatenate(pairs, axis=1), axis=0)
+    order = np.lexsort((both[1], both[0]))
+    both = both[:, order]
+    return both[:, np.append(True, (both[:, 1:] != both[:, :-1]).any(axis=0))] if both.shape[1] else both
 
-    def pairs(table: pa.Table) -> pa.RecordBatch:
+
+def _crossed(slots: int):
+    """Pairs of each unit (key, p, q) as rows (slot, packed pairs).
+
+    Rows come in order of unit and side, and a unit's are held together (at
+    most about twice BLOCK).  Two classes meet in many units: a task sends a pair
+    once, packed with others of its slot, and the slot makes pairs distinct."""
+    schema = pa.schema([("slot", pa.int32()), ("pairs", pa.binary())])
+
+    def found(table: pa.Table) -> list[np.ndarray]:
         cls, label, n, side = (table.column(c).to_numpy() for c in ("cls", "label", "n", "side"))
         raw = table.column("sketch").to_pylist()
         unit = np.stack([table.column(c).to_numpy() for c in ("key", "p", "q")])
         edge = np.flatnonzero(np.append(True, (unit[:, 1:] != unit[:, :-1]).any(axis=0)))
-        found = [_unit_pairs(cls[i:j], label[i:j], n[i:j], side[i:j], raw[i:j]) for i, j in zip(edge, np.append(edge[1:], len(cls))) if j - i > 1]
-        a, b = (np.concatenate([f[x] for f in found]) if found else np.zeros(0, np.int64) for x in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
+        return [np.stack(_unit_pairs(cls[i:j], label[i:j], n[i:j], side[i:j], raw[i:j])) for i, j in zip(edge, np.append(edge[1:], len(cls))) if j - i > 1]
+
+    def packed(pairs: np.ndarray) -> pa.RecordBatch:
+        slot = (mixed(pairs[0].astype(np.uint64) ^ mixed(pairs[1].astype(np.uint64))) % np.uint64(slots)).astype(np.int32)
+        order = np.argsort(slot, kind="stable")
+        slot, pairs = slot[order], pairs[:, order]
+        edge = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
+        return pa.RecordBatch.from_arrays([pa.array(slot[edge]), pa.array([pairs[:, i:j].T.tobytes() for i, j in zip(edge, np.append(edge[1:], len(slot)))], pa.binary())], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        ready: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
+
+        def add(table: pa.Table) -> None:
+            ready.extend(found(table))
+            if sum(x.shape[1] for x in ready) > PACK:
+                ready[:] = [_unique(ready)]
+        for batch in batches:
+            unit = np.stack([batch.column(c).to_numpy() for c in ("key", "p", "q")])
+            if not unit.shape[1]:
+                continue
+            change = np.flatnonzero((unit[:, 1:] != unit[:, :-1]).any(axis=0))
+            last = int(change[-1]) + 1 if len(change) else 0  # where the last unit of the batch begins
+            if held and (last or any(held[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in ("key", "p", "q"))):
+                add(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            elif last:
+                add(pa.Table.from_batches([batch.slice(0, last)]))
+            held.append(batch.slice(last))
+            if ready[0].shape[1] > PACK // 2:
+                yield packed(ready.pop(0))
+                ready.insert(0, np.zeros((2, 0), np.int64))
+        if held:
+            add(pa.Table.from_batches(held))
+        pairs = _unique(ready)
+        if pairs.shape[1]:
+            yield packed(pairs)
+    return run
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs of whole slots, which come one after another."""
+    slot, held = None, [np.zeros((2, 0), np.int64)]
+
+    def told() -> pa.RecordBatch:
+        pairs = _unique(held)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
     for batch in batches:
-        unit = np.stack([batch.column(c).to_numpy() for c in ("key", "p", "q")])
-        if not unit.shape[1]:
-            continue
-        change = np.flatnonzero((unit[:, 1:] != unit[:, :-1]).any(axis=0))
-        last = int(change[-1]) + 1 if len(change) else 0  # where the last unit of the batch begins
-        if held and (last or any(held[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in ("key", "p", "q"))):
-            yield pairs(pa.Table.from_batches([*held, batch.slice(0, last)]))
-            held = []
-        elif last:
-            yield pairs(pa.Table.from_batches([batch.slice(0, last)]))
-        held.append(batch.slice(last))
-    if held:
-        yield pairs(pa.Table.from_batches(held))
+        for s, raw in zip(batch.column("slot").to_pylist(), batch.column("pairs").to_pylist()):
+            if s != slot and slot is not None:
+                yield told()
+                held = [np.zeros((2, 0), np.int64)]
+            slot = s
+            held.append(np.frombuffer(raw, np.int64).reshape(-1, 2).T)
+            if len(held) > 64:
+                held = [_unique(held)]
+    yield told()
 
 
 # ------------------------------------------------------------------ Spark
@@ -375,5 +428,7 @@ def _across(buckets: DataFrame, labels: DataFrame, classes: DataFrame, scratch:
     dealt = rest.join(torn, "key").withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = dealt.select("key", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"), "cls", "label", "side")
     units = units.join(classes.select("cls", "n", "sketch"), "cls")
+    slots = 4 * int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (units.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "side")
-            .mapInArrow(_crossed, "a long, b long").distinct())
+            .mapInArrow(_crossed(slots), "slot int, pairs binary")
+            .repartition("slot").sortWithinPartitions("slot").mapInArrow(_unpacked, "a long, b long"))
