@@ -31,7 +31,7 @@ def suffix_order(ranks: np.ndarray) -> np.ndarray:
     while True:
         after = np.zeros(n, np.int64)
         after[:-span] = ranks[span:] + 1
-        key = ranks * (n + 2) + after
+        key = ranks * (int(ranks.max()) + 2) + after
         order = np.argsort(key, kind="stable")
         step = np.ones(n, np.int64)
         step[0] = 0

@@ -107,15 +107,16 @@ def deep_shallow_sort(strings: list[bytes], groups: np.ndarray, shallow: int = S
         same = 7 - (np.frexp(differ.astype(np.float64))[1] - 1) // 8
         for b in range(7):  # frexp rounds up just below a power of two
             same = np.where((same == b) & (differ >> np.uint64(56 - 8 * b) == 0), b + 1, same)
-        where = at[split]
-        lcp[where] = np.minimum(8 * level + same, np.minimum(sizes[order[where]], sizes[order[where - 1]]))
-        begins[where] = True
+        lcp[at[split]] = 8 * level + same
+        begins[at[split]] = True
     edge = np.append(np.flatnonzero(begins), n)
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
         if b - a > 1:
             sorted_ = blind_trie_order(strings, order[a:b].tolist())
             order[a:b] = [m for m, _ in sorted_]
             lcp[a + 1:b] = [shared for _, shared in sorted_[1:]]
+    # padding may look like zero bytes: no prefix is longer than either string
+    lcp[1:] = np.minimum(lcp[1:], np.minimum(sizes[order[1:]], sizes[order[:-1]]))
     return order, lcp
 
 
