@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from upcheck.session import scratch_path
 
 #: Bytes of text that numpy works on at a time; one longer document is worked on alone.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 #: Words are maximal runs of anything but these six bytes.
 SPACE = np.zeros(256, dtype=bool)

@@ -187,7 +187,7 @@ def tokenized(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame
         words = vocab.loaded(WordLevel, source.value)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, 1 << 20):  # the more text, the more words repeat
                 part, edge = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
                 starts, _, first = word_spans(part, edge)
                 # a word with the white space after it: the text itself, cut before every word
