@@ -119,3 +119,27 @@ def test_isotonic_and_boosting():
     assert ((rate >= 0.5) == y).mean() > 0.97 and rate.min() >= 0 and rate.max() <= 1
     xs, ys = isotonic(np.array([3.0, 1.0, 2.0, 2.0]), np.array([1.0, 0.0, 1.0, 0.0]))
     assert (np.diff(ys) >= 0).all() and (np.diff(xs) >= 0).all()
+
+
+def test_clean_numbers_and_tokens_are_no_personal_data(spark):
+    """Strings of every proposed kind that are none of it stay; those that a word announces go."""
+    from upcheck.llm import pii
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    clean = ["12345678", "978-3-16-148410-0", "8 336 817", "build_2024_release_notes", "2024-03-05", "1999-2003", "31.12.1999", "docs/part-2/chapter_11_intro",
+             "user7@localhost", "300.1.2.3", "12:30:45:10", "4111 1111 1111 1112", "1 234 567 890", "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"]
+    private = ["call 555-010-9999", 'token = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"', "password: hunter2_2024_abcdef12", "ann7 (at) example (dot) org", "card 4111 1111 1111 1112"]
+    rows = [(-1 - i, f"ths onan the {x} erhe ing thon.") for i, x in enumerate(clean + private)]
+    model = pii.train(docs)
+    found = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string"), model, ["doc_id"]).collect()}
+    assert [x for i, x in enumerate(clean) if found[-1 - i]] == []
+    assert [x for i, x in enumerate(private, len(clean)) if not found[-1 - i]] == []
+    assert set(model[1]) == set(pii.KINDS)
+
+
+def test_thresholds_by_kind():
+    from upcheck.llm import pii
+    kinds = np.array(["phone"] * 4 + ["card"] * 4 + ["secret"] * 2, object)
+    y = np.array([0, 0, 1, 1, 0, 1, 0, pii.BASE, 0, 1])
+    rate = np.array([0.1, 0.6, 0.7, 0.9, 0.2, 0.9, 0.9, 0.95, 0.1, 0.2])
+    found = pii.cutoffs(kinds, y, rate)
+    assert (found["phone"], found["card"], found["secret"], found["email"]) == (0.7, float("inf"), 0.2, float("inf"))

@@ -93,6 +93,7 @@ class Calibrated:
         for f in range(self.folds):
             if (fold == f).any():
                 held[fold == f] = Boosted(**self.options).fit(x[fold != f], y[fold != f]).margin(x[fold == f])
+        self.held = held  # margins of the left-out folds
         self.points = isotonic(held, y.astype(float)) if len(y) else (np.zeros(1), np.zeros(1))
         self.model = Boosted(**self.options).fit(x, y)
         return self
