@@ -143,3 +143,13 @@ def test_thresholds_by_kind():
     rate = np.array([0.1, 0.6, 0.7, 0.9, 0.2, 0.9, 0.9, 0.95, 0.1, 0.2])
     found = pii.cutoffs(kinds, y, rate)
     assert (found["phone"], found["card"], found["secret"], found["email"]) == (0.7, float("inf"), 0.2, float("inf"))
+
+
+def test_addresses_with_long_digit_runs():
+    """Runs beyond what int() takes, as one part of an address or padded with zeros."""
+    import pyarrow as pa
+    from upcheck.llm import pii
+    texts = ["7" * 5000 + ".1.1.1", "0" * 5000 + "9.1.1.255", "10.0.0.256", "010.000.0.255", "1.1.1." + "7" * 5000]
+    data, offsets = common.text_bytes(pa.array(texts))
+    got = [(s, e) for s, e, kind in pii.base_spans(data, offsets) if kind == "ip"]
+    assert got == [(int(offsets[i]), int(offsets[i + 1])) for i in (1, 3)]
