@@ -15,7 +15,8 @@ from upcheck.llm.common import Scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.accepted(docs, langid.train(docs))
+    model = langid.train(docs)
+    return langid.accepted(docs, model, langid.spread(docs, model))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

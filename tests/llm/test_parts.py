@@ -153,3 +153,24 @@ def test_addresses_with_long_digit_runs():
     data, offsets = common.text_bytes(pa.array(texts))
     got = [(s, e) for s, e, kind in pii.base_spans(data, offsets) if kind == "ip"]
     assert got == [(int(offsets[i]), int(offsets[i + 1])) for i in (1, 3)]
+
+
+def test_texts_of_no_learned_language_go(spark):
+    """Unlearned languages and noise go, with a label or without; learned languages stay, also two in one text, and short ones."""
+    import corpus_pipeline
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    by_lang = {r.lang: r.text for r in docs.where("n_chars between 800 and 1500").orderBy("doc_id").collect()}
+    rnd = random.Random(5)
+    noise = lambda letters: " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(2, 9))) for _ in range(40))
+    strange = ["日本語のテキストは空白がないので、単語の境界を見つけるのは難しいことがあります。" * 3,
+               "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+               "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+               noise("bcdfghjklmnpqrstvwxz"), *(noise("abcdefghijklmnopqrstuvwxyz") for _ in range(20))]
+    at_home = [by_lang["en"], by_lang["de"][:400] + " " + by_lang["fr"][:400], " ".join(by_lang["es"].split()[:4]), by_lang["en"].upper()]
+    rows = [(-1 - i, x, None) for i, x in enumerate(strange + at_home)] + [(-1001 - i, x, "en") for i, x in enumerate(strange)]
+    every = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    out = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, every, None).collect()}
+    assert [i for i in range(len(strange)) if -1 - i in out or -1001 - i in out] == []
+    assert all(-1 - i in out for i in range(len(strange), len(strange + at_home))) and out[-1 - len(strange)] == "en"
+    spelled = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert len(spelled - set(out)) <= 0.002 * len(spelled)
