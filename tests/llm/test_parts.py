@@ -174,3 +174,28 @@ def test_texts_of_no_learned_language_go(spark):
     assert all(-1 - i in out for i in range(len(strange), len(strange + at_home))) and out[-1 - len(strange)] == "en"
     spelled = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
     assert len(spelled - set(out)) <= 0.002 * len(spelled)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=9))
+def test_plans_are_the_least_possible(lengths):
+    def least(left, rooms):
+        if not left:
+            return len(rooms)
+        out = len(rooms) + 1 + len(left)
+        for i, room in enumerate(rooms):
+            if room >= left[0] and room not in rooms[:i]:
+                out = min(out, least(left[1:], (*rooms[:i], room - left[0], *rooms[i + 1:])))
+        return min(out, least(left[1:], (*rooms, 20 - left[0])))
+    plan = packing.bin_completion(np.bincount(lengths, minlength=21), 20)
+    fewest = least(sorted(lengths, reverse=True), ())
+    assert sum(c for c, _ in plan) == fewest
+    assert packing.lower_bound(np.bincount(lengths, minlength=21), 20) <= fewest
+
+
+def test_plans_take_equal_fillings_into_account():
+    """Exact fits that need the second of two fillings of equal waste, once and in many copies."""
+    lengths = [1048, 948, 800, 700, 674, 674, 600, 400, 300]
+    for copies in (1, 7, 1000, 1_000_000):
+        counts = np.bincount(lengths, minlength=2049) * copies
+        assert sum(c for c, _ in packing.bin_completion(counts)) == 3 * copies

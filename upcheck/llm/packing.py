@@ -2,11 +2,14 @@
 
 How full sequences can get depends on how many pieces there are of each length,
 and there are at most ``CAPACITY`` lengths.  So the driver plans over these
-counts: it takes the largest length left, enumerates the undominated fillings of
-the room beside it, and branches on them, best fit first, each as often as the
-counts allow.  A branch is cut when its waste can't beat the incumbent, at first
-the best-fit decreasing solution; a plan that meets the volume bound ends it.
-Pieces then get their places in parallel: a piece's rank among those of its
+counts: it takes the largest length left, enumerates all undominated fillings of
+the room beside it, least waste first, and branches on them, each as often as the
+counts allow and once.  Branches with the fewest choices against this order come
+first, of these the earliest choices.  A branch is cut when a lower bound (volume,
+and pieces too large to share a sequence) says it can't beat the incumbent, at
+first the best-fit decreasing solution, or when what it leaves was met before.  A
+plan that meets the bound ends the search, and so do ``NODES`` choices or ``STEPS``
+steps of the enumeration; within these the plan is the least possible.  Pieces then get their places in parallel: a piece's rank among those of its
 length says which copy of which filling it belongs to.
 
 Defined results: null and empty texts are one piece with the end token alone; an
@@ -15,6 +18,10 @@ empty table gives no rows; repeated rows are packed each.
 
 from __future__ import annotations
 
+import hashlib
+from bisect import bisect_right
+from heapq import heappop, heappush
+from itertools import islice
 from typing import Iterator
 
 import numpy as np
@@ -30,8 +37,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces of one length are ranked in so many parts, so that no length is one task's.
 PARTS = 256
-#: Most pieces put into a room at once when the last ones must fit exactly, and branches tried at most.
-EXACT, BRANCHES = 4, 64
+#: Most choices of a filling in a search, and most steps in enumerating fillings (each some seconds, whatever the input).
+NODES, STEPS = 4_000, 4_000_000
 
 Filling = tuple[int, ...]
 Plan = list[tuple[int, Filling]]  # copies, lengths
@@ -65,100 +72,130 @@ def best_fit_decreasing(counts: np.ndarray, capacity: int) -> Plan:
     return [(copies, filling) for groups in rooms.values() for copies, filling in groups]
 
 
-def _sums(lengths: list[int], capacity: int) -> list[int]:
-    """For 0 to EXACT pieces, the sums they can have, as bits of an integer."""
-    mask, out = (1 << (capacity + 1)) - 1, [1]
-    for _ in range(EXACT):
-        bits = 0
-        for x in lengths:
-            bits |= out[-1] << x
-        out.append(bits & mask)
-    return out
-
-
-def _pieces(total: int, k: int, below: int, counts: np.ndarray, lengths: list[int], sums: list[int]) -> Filling | None:
-    """``k`` lengths, largest first and none over ``below``, that add up to ``total`` and are there."""
-    if k == 0:
-        return () if total == 0 else None
-    for x in lengths:  # descending
-        if x > below or x > total:
-            continue
-        if x * k < total:
-            return None
-        if sums[k - 1] >> (total - x) & 1 and counts[x]:
-            counts[x] -= 1
-            rest = _pieces(total - x, k - 1, x, counts, lengths, sums)
-            counts[x] += 1
-            if rest is not None:
-                return (x, *rest)
-    return None
-
-
-def fillings(largest: int, counts: np.ndarray, capacity: int) -> list[Filling]:
-    """Undominated fillings around ``largest``: for each number of pieces the best sum, least waste first."""
-    counts = counts.copy()
-    counts[largest] -= 1
-    head, room = [largest], capacity - largest
-    lengths = [x for x in np.flatnonzero(counts[:room + 1])[::-1].tolist() if x]
-    while lengths and room > EXACT * lengths[0]:  # more than the last pieces can fill: largest first
-        x = lengths[0]
-        take = min(int(counts[x]), (room - EXACT * x) // x + 1)
-        counts[x] -= take
-        head += [x] * take
-        room -= take * x
-        lengths = [x for x in np.flatnonzero(counts[:room + 1])[::-1].tolist() if x]
-    sums = _sums(lengths, room)
-    out: list[tuple[int, Filling]] = []
-    for k in range(EXACT + 1):
-        bits, tried = sums[k] & ((1 << (room + 1)) - 1), 0
-        while bits and tried < 8:
-            total = bits.bit_length() - 1
-            if out and room - total >= min(w for w, _ in out):
-                break  # dominated: fewer and larger pieces waste no more
-            found = _pieces(total, k, room, counts, lengths, sums)
-            if found is not None:
-                out.append((room - total, (*head, *found)))
-                break
-            bits ^= 1 << total
-            tried += 1
-        if out and min(w for w, _ in out) == 0:
-            break
-    return [f for _, f in sorted(out, key=lambda x: (x[0], len(x[1])))]
-
-
-def bin_completion(counts: np.ndarray, capacity: int = CAPACITY, branches: int = BRANCHES) -> Plan:
-    """A plan with as few sequences as the search finds; ``counts[length]`` pieces each.
-
-    Depth first without recursion; ``branches`` bounds how many second choices are tried.
-    """
-    volume = int((counts * np.arange(len(counts))).sum())
-    bound = -(-volume // capacity)
+def lower_bound(counts: np.ndarray, capacity: int) -> int:
+    """Sequences needed at least: for every k, pieces over ``capacity`` - k share with none of k or more (Martello and Toth's L2)."""
+    number, volume = np.append(0, np.cumsum(counts)), np.append(0, np.cumsum(counts * np.arange(len(counts))))  # of lengths below i
+    half = capacity // 2
+    k = np.arange(half + 1)
+    alone = number[-1] - number[capacity - k + 1]
+    large = number[capacity - k + 1] - number[half + 1]
+    room = large * capacity - (volume[capacity - k + 1] - volume[half + 1])
+    return int((alone + large + np.maximum(0, -((room - (volume[half + 1] - volume[k])) // capacity))).max())
+
+
+def _multisets(total: int, below: int, lengths: list[int], most: list[int], reach: list[int], steps: list[int]) -> Iterator[Filling]:
+    """All multisets of the first ``below`` lengths that add up to ``total``, those with larger pieces first."""
+    if total == 0:
+        yield ()
+        return
+    for i in range(bisect_right(lengths, total, 0, below) - 1, -1, -1):
+        if not reach[i + 1] >> total & 1:
+            return
+        x = lengths[i]
+        for k in range(min(most[i], total // x), 0, -1):
+            steps[0] -= 1
+            if steps[0] < 0:
+                return
+            if reach[i] >> (total - k * x) & 1:
+                for rest in _multisets(total - k * x, i, lengths, most, reach, steps):
+                    yield (x,) * k + rest
+
+
+def _dominated(filling: Filling, waste: int, left: np.ndarray, there: int) -> bool:
+    """Whether a spare piece fits into the waste, or takes the place of one or two smaller ones beside the first."""
+    for x in set(filling):
+        if filling.count(x) == left[x]:
+            there &= ~(1 << x)
+    rest = sorted(set(filling[1:]))
+    spare = lambda low: there >> low & ((1 << (waste + 1)) - 1)  # noqa: E731  # lengths from low to low + waste
+    if spare(0) or any(spare(x) >> 1 for x in rest):
+        return True
+    pairs = (x + y for a, x in enumerate(rest) for y in rest[a:] if x != y or filling[1:].count(x) > 1)
+    return any(spare(x) for x in pairs)
+
+
+def fillings(left: np.ndarray, capacity: int, most_waste: int | None = None, steps: list[int] | None = None) -> Iterator[Filling]:
+    """All undominated fillings around the largest piece that waste ``most_waste`` at most, least waste first."""
+    steps = [STEPS] if steps is None else steps
+    largest = int(np.flatnonzero(left)[-1])
+    room = capacity - largest
+    rest = left[:max(room, largest) + 1].copy()
+    rest[largest] -= 1
+    lengths = np.flatnonzero(rest[:room + 1]).tolist()
+    most = [min(int(rest[x]), room // x) for x in lengths]
+    mask, reach = (1 << (room + 1)) - 1, [1]
+    for x, n in zip(lengths, most):
+        bits, part = reach[-1], 1
+        while n:
+            take = min(part, n)
+            bits |= bits << (take * x) & mask
+            n -= take
+            part *= 2
+        reach.append(bits)
+    there = sum(1 << x for x in np.flatnonzero(left).tolist())
+    for waste in range(min(room, room if most_waste is None else most_waste) + 1):
+        if reach[-1] >> (room - waste) & 1:
+            for found in _multisets(room - waste, len(lengths), lengths, most, reach, steps):
+                if not _dominated((largest, *found), waste, left, there):
+                    yield (largest, *found)
+
+
+def _options(left: np.ndarray, capacity: int, most_waste: int, steps: list[int]) -> Iterator[tuple[int, Filling]]:
+    """Fillings with how often to take them: as often as the counts allow within the waste, then once."""
+    for filling in fillings(left, capacity, most_waste, steps):
+        lengths, times = np.unique(filling, return_counts=True)
+        waste = capacity - sum(filling)
+        copies = int((left[lengths] // times).min())
+        if waste:
+            copies = min(copies, most_waste // waste)
+        yield copies, filling
+        if copies > 1:
+            yield 1, filling
+
+
+def bin_completion(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES, steps: int = STEPS) -> Plan:
+    """A plan with as few sequences as the search finds; ``counts[length]`` pieces each."""
     best = best_fit_decreasing(counts, capacity)
     fewest = sum(c for c, _ in best)
-    stack: list[tuple[np.ndarray, Plan, int]] = [(counts.copy(), [], 0)]
-    tried = 0
-    while stack and fewest > bound:
-        left, plan, waste = stack.pop()
-        while left.any() and waste <= (fewest - 1) * capacity - volume:
-            largest = int(np.flatnonzero(left)[-1])
-            options = fillings(largest, left, capacity)
-            for other in options[1:] if tried < branches else []:
-                stack.append(_applied(other, left, plan, waste, capacity, 1))
-                tried += 1
-            left, plan, waste = _applied(options[0], left, plan, waste, capacity, 0)
-        if not left.any() and sum(c for c, _ in plan) < fewest:
-            best, fewest = plan, sum(c for c, _ in plan)
+    bound = lower_bound(counts, capacity)
+    sizes = np.arange(len(counts))
+    seen: dict[bytes, int] = {}
+    effort, serial = [steps], 0
+    heap: list[tuple] = [(0, 0, 0, None, 0)]  # choices against the order, depth, serial, path, options used
+    while heap and fewest > bound and nodes > 0 and effort[0] > 0:
+        against, depth, _, path, skip = heappop(heap)
+        left, used, plan = counts.copy(), 0, path
+        while plan:
+            plan, copies, filling = plan
+            np.subtract.at(left, list(filling), copies)
+            used += copies
+        while left.any():
+            spare = (fewest - 1 - used) * capacity - int((left * sizes).sum())
+            option = next(islice(_options(left, capacity, spare, effort), skip, None), None) if spare >= 0 else None
+            nodes -= 1
+            if option is None:
+                break
+            serial += 1
+            heappush(heap, (against + 1, depth, serial, path, skip + 1))
+            copies, filling = option
+            np.subtract.at(left, list(filling), copies)
+            path, used, depth, skip = (path, copies, filling), used + copies, depth + 1, 0
+            if used + lower_bound(left, capacity) >= fewest:
+                break
+            key = hashlib.blake2b(left.tobytes(), digest_size=16).digest()
+            if seen.get(key, fewest) <= used:
+                break
+            seen[key] = used
+        else:
+            if used < fewest:
+                best, fewest = [], used
+                while path:
+                    path, copies, filling = path
+                    best.append((copies, filling))
+                best.reverse()
     return best
 
 
-def _applied(filling: Filling, left: np.ndarray, plan: Plan, waste: int, capacity: int, once: int) -> tuple[np.ndarray, Plan, int]:
-    lengths, times = np.unique(filling, return_counts=True)
-    copies = 1 if once else int((left[lengths] // times).min())
-    left = left.copy()
-    left[lengths] -= copies * times
-    return left, [*plan, (copies, filling)], waste + copies * (capacity - sum(filling))
-
-
 def slots(plan: Plan) -> np.ndarray:
     """Rows (length, first rank, first sequence, copies, offset), by length and rank; ranks count pieces of a length."""
     rows, used, sequence = [], {}, 0
