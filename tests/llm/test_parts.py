@@ -199,3 +199,37 @@ def test_plans_take_equal_fillings_into_account():
     for copies in (1, 7, 1000, 1_000_000):
         counts = np.bincount(lengths, minlength=2049) * copies
         assert sum(c for c, _ in packing.bin_completion(counts)) == 3 * copies
+
+
+def test_simhash_finds_near_copies(spark):
+    """Copies with one word in a hundred replaced are found, and the answer names them."""
+    from pyspark.sql import functions as F
+    from upcheck.llm import simhash
+    rnd = random.Random(2)
+    texts = [r.text.split() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    texts = [w for w in texts if 100 <= len(w) <= 1500][:150]
+    every = [x for w in texts for x in w]
+    rows = []
+    for i, words in enumerate(texts):
+        copy = list(words)
+        for at in rnd.sample(range(len(copy)), max(1, len(copy) // 100)):
+            copy[at] = rnd.choice(every)
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+    fps = {r.doc_id: r.fp for r in simhash.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    index = spark.createDataFrame([(x, 1) for x in set(fps.values())], "fp long, docs long")
+    asked = spark.createDataFrame([(fps[2 * i],) for i in range(len(texts))], "fp long")
+    got = {(r.fp, r.near) for r in simhash.within(asked, index, simhash.RADIUS).collect()}
+    apart = lambda a, b: bin((a ^ b) & (2**64 - 1)).count("1")
+    assert got == {(a, b) for a in {fps[2 * i] for i in range(len(texts))} for b in set(fps.values()) if apart(a, b) <= simhash.RADIUS}
+    assert sum((fps[2 * i], fps[2 * i + 1]) in got for i in range(len(texts))) >= 0.9 * len(texts)
+
+
+def test_simhash_names_what_it_finds(spark):
+    from upcheck.llm.queries import op3_simhash
+    rows = op3_simhash(spark, "/root/testdata/sf0.01").collect()
+    for r in rows:
+        assert (r.within is None) == (r.doc_id % 100 != 0)
+    some = [r for r in rows if r.within is not None]
+    for r in some:
+        found = set(r.within.split(","))
+        assert r.fingerprint in found and sum(x.fingerprint in found for x in rows) == r.n_within

@@ -34,17 +34,21 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``n_within``: of documents whose id is divisible by 100, how many (itself included) are in the radius."""
+    """Of documents whose id is divisible by 100, ``n_within``: how many (itself included) are in the radius; ``within``: their fingerprints.
+
+    The documents found are the rows whose ``fingerprint`` is in ``within``.
+    """
     scratch = Scratch(spark)
     rows = scratch.save(simhash.fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
     index = rows.groupBy("fp").agg(F.count("*").alias("docs"))
     asked = rows.where("doc_id % 100 = 0")
-    near = simhash.within(asked, index).groupBy("fp").agg(F.sum("docs").alias("n_within"))
+    near = simhash.within(asked, index, simhash.RADIUS).groupBy("fp").agg(F.sum("docs").alias("n_within"), F.collect_list(simhash.hexed(F.col("near"))).alias("near"))
     out = rows.join(near.withColumn("asked", F.lit(True)), "fp", "left")
     return out.select(
         "doc_id", "n_chars", "edited_sha256", simhash.hexed(F.col("fp")).alias("fingerprint"), simhash.hexed(F.col("edited_fp")).alias("edited_fingerprint"),
         simhash.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), simhash.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
-        F.when(F.col("doc_id") % 100 == 0, F.col("n_within")).alias("n_within"))
+        F.when(F.col("doc_id") % 100 == 0, F.col("n_within")).alias("n_within"),
+        F.when(F.col("doc_id") % 100 == 0, F.array_join(F.array_sort("near"), ",")).alias("within"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,9 @@ Every word votes on 64 bits with its hash, weighted by its length squared (up to
 eight characters: long words say more about a text than articles do) and by how
 often it stands there.  A bit is set where more than half of the weight votes
 for it.  ``within`` finds all fingerprints in a Hamming radius: 64 bits are cut
-into ``radius + spare`` blocks, and one table for each choice of ``spare`` blocks
-is keyed by these; two fingerprints within the radius agree on one choice.
+into three blocks, each the key of one table; of two fingerprints within the
+radius one block differs by a third of it at most, so queries look up all such
+variants of their blocks.
 
 Defined results: a text without words (null, empty, blank) has the fingerprint
 0; equal texts have equal fingerprints; rows with one id follow each other in
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from upcheck.llm.common import SPACES
 
-RADIUS, SPARE = 3, 3
+RADIUS = 8  # of near copies; see README for what it finds
+EDGES = (0, 21, 42, 64)
 _LANES = 0x0000000100000001
 _LEAST = -(1 << 63)
 
@@ -106,26 +108,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             .select("doc_id", "n_chars", F.col("sha").alias("edited_sha256"), "fp", "edited_fp", "next_fp"))
 
 
-def _tables(radius: int, spare: int) -> list[tuple[int, int, list[int], int]]:
-    """For each table its number, mask, block bits of its choice, and bits of all blocks up to its last."""
-    count = radius + spare
-    edge = [round(64 * i / count) for i in range(count + 1)]
-    blocks = [((1 << edge[i + 1]) - 1) ^ ((1 << edge[i]) - 1) for i in range(count)]
-    return [(t, sum(blocks[b] for b in choice), sum(1 << b for b in choice), (1 << (choice[-1] + 1)) - 1) for t, choice in enumerate(combinations(range(count), spare))], blocks
+def _flips(low: int, high: int, most: int) -> Column:
+    """Array of all longs with ``most`` bits at most, from bit ``low`` to below ``high``."""
+    flips = [_signed(sum(1 << b for b in bits)) for k in range(most + 1) for bits in combinations(range(low, high), k)]
+    return F.split(F.lit(",".join(map(str, flips))), ",").cast("array<bigint>")
 
 
-def within(queries: DataFrame, index: DataFrame, radius: int = RADIUS, spare: int = SPARE) -> DataFrame:
+def within(queries: DataFrame, index: DataFrame, radius: int = 3) -> DataFrame:
     """``(fp, near, docs)``: for each distinct ``fp`` of ``queries`` all of ``index (fp, docs)`` in the radius.
 
-    A pair comes from one table only: that of the first blocks it agrees on.
+    A pair comes from one table only: that of the first block that differs little.
     """
-    tables, blocks = _tables(radius, spare)
-    entry = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(bits).alias("bits"), F.lit(upto).alias("upto"), F.col("fp").bitwiseAND(F.lit(_signed(mask))).alias("key")) for t, mask, bits, upto in tables]))
-    left = queries.select("fp").distinct().select("fp", entry.alias("e")).select("fp", "e.t", "e.bits", "e.upto", "e.key")
-    right = index.select(F.col("fp"), "docs", entry.alias("e")).select(F.col("fp").alias("near"), "docs", F.col("e.t").alias("t"), F.col("e.key").alias("key"))
+    most, blocks = radius // 3, [(low, high, F.lit(_signed((1 << high) - (1 << low)))) for low, high in zip(EDGES, EDGES[1:])]
+    part = lambda mask: F.col("fp").bitwiseAND(mask)
+    varied = lambda t, low, high, mask: F.transform(_flips(low, high, most), lambda x: F.struct(F.lit(t).alias("t"), part(mask).bitwiseXOR(x).alias("key")))
+    left = queries.select("fp").distinct().select("fp", F.explode(F.concat(*(varied(t, *block) for t, block in enumerate(blocks)))).alias("e")).select("fp", "e.t", "e.key")
+    entry = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), part(mask).alias("key")) for t, (_, _, mask) in enumerate(blocks)]))
+    right = index.select("fp", "docs", entry.alias("e")).select(F.col("fp").alias("near"), "docs", "e.t", "e.key")
     differ = F.col("fp").bitwiseXOR(F.col("near"))
-    agree = F.lit(0)
-    for b, mask in enumerate(blocks):
-        agree = agree + F.when(differ.bitwiseAND(F.lit(_signed(mask))) == 0, 1 << b).otherwise(0)
-    hit = (F.bit_count(differ) <= radius) & (agree.bitwiseAND(F.col("upto")) == F.col("bits"))
-    return left.join(right, ["t", "key"]).where(hit).select("fp", "near", "docs")
+    first = F.lit(len(blocks))
+    for t, (_, _, mask) in reversed(list(enumerate(blocks))):
+        first = F.when(F.bit_count(differ.bitwiseAND(mask)) <= most, t).otherwise(first)
+    return left.join(right, ["t", "key"]).where((F.bit_count(differ) <= radius) & (first == F.col("t"))).select("fp", "near", "docs")
