@@ -233,3 +233,12 @@ def test_simhash_names_what_it_finds(spark):
     for r in some:
         found = set(r.within.split(","))
         assert r.fingerprint in found and sum(x.fingerprint in found for x in rows) == r.n_within
+
+
+def test_edges_of_parts_pass_32_bits(spark):
+    """Texts of 2**25 characters and more, by their numbers alone."""
+    from pyspark.sql import functions as F
+    sizes = [(n, c) for n, c in ((100, 4), ((1 << 25) + 1, 64), (2_000_000_000, 2048))]
+    df = spark.createDataFrame(sizes, "n int, c int").select("n", "c", F.explode(F.sequence(F.lit(0), F.col("c"))).alias("i"))
+    for r in df.select("n", "c", "i", bpe._edge(F.col("n"), F.col("i"), F.col("c")).alias("at")).collect():
+        assert r.at == r.n * r.i // r.c

@@ -17,7 +17,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upcheck.llm import vocab
@@ -82,6 +82,11 @@ def _list(parts: list[np.ndarray]) -> pa.Array:
 ROWS = 1000
 
 
+def _edge(n: Column, i: Column, count: Column) -> Column:
+    """Where part ``i`` of ``count`` begins in ``n`` characters; their product can pass 32 bits."""
+    return F.floor(n.cast("long") * i / count).cast("int")
+
+
 def encode(docs: DataFrame, path: str, leaf: int = LEAF, spread: int = SPREAD) -> DataFrame:
     """``(doc_id, ids)`` of rows ``(doc_id, text)`` with the vocabulary file ``path``."""
     source = docs.sparkSession.sparkContext.broadcast(vocab.read(path))
@@ -112,7 +117,7 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF, spread: int = SPREAD) -
 
     short = rows.where(n <= spread).mapInArrow(run, f"doc_id {id_type}, ids array<int>")
     count = F.pow(F.lit(2), F.ceil(F.log2(n / F.lit(spread)))).cast("int")  # parts of at most spread characters
-    edge = lambda i: F.floor(n * i / F.col("count")).cast("int")
+    edge = lambda i: _edge(n, i, F.col("count"))
     cut = F.transform(F.sequence(F.lit(0), F.col("count") - 1), lambda i: F.struct(i.alias("leaf"), F.substring(F.col("text"), edge(i) + 1, edge(i + 1) - edge(i)).alias("text")))
     leaves = (rows.where(n > spread).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rk"), count.alias("count"))
               .select("doc_id", "rk", F.explode(cut).alias("x")).select("doc_id", "rk", "x.leaf", "x.text").repartition("rk", "leaf"))
