@@ -130,3 +130,83 @@ def components(rows):
         if doc is not None and (least.get(r) is None or doc < least[r]):
             least[r] = doc
     return [(doc, len(s), least.get(root(i))) for i, ((doc, _), s) in enumerate(zip(rows, sets))]
+
+
+VECTORS = "vec_id long, embedding array<float>, label int, x string, tally double, place int"
+
+
+def edge_vectors() -> list[tuple]:
+    """Null, non-finite and equal vectors, ties between entries, repeated rows and ids, null ids and labels, clashing names."""
+    rnd = random.Random(5)
+    vector = lambda spread: [rnd.uniform(-spread, spread) for _ in range(16)]
+    rows = [(i, vector(0.6), i % 4 if i % 5 else None) for i in range(30, 130)]
+    rows += [(i, [float(rnd.randint(-1, 1)) for _ in range(16)], 9) for i in range(200, 260)]  # many ties
+    rows += [(i, rows[0][1], 1) for i in range(3)] + [(5, rows[7][1], 2), (6, [0.0] * 16, 2), (7, [-0.0] * 16, 2)]
+    rows += [rows[4]] * 3 + [(rows[4][0], vector(0.1), None), (None, vector(0.2), 0), (None, None, None), (4, None, 1)]
+    rows += [(8, [float("nan")] + [0.0] * 15, 1), (9, [float("inf")] + [0.0] * 15, 1), (10, [float("-inf")] * 16, 1), (11, [None] + [0.5] * 15, 1)]
+    rows += [(12, [2.0 ** -12 * k for k in range(16)], 3), (13, [-(2.0 ** -13)] * 16, 3), (300, vector(40.0), 3)]
+    rnd.shuffle(rows)
+    return [(*r, "x", 0.5, 1) for r in rows]
+
+
+def vector_codes(rows, parts=8, entries=16, rounds=6):
+    """(vec_id, code, error, label_error, codebooks_sha256) by comparing every part with every entry."""
+    import math
+    kept = [(i, [math.floor(4096 * v) for v in x], label) for i, x, label in rows if x is not None and all(v is not None and math.isfinite(v) for v in x)]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    n = len(kept[0][1]) // parts if kept else 0
+    cut = [[x[p * n:(p + 1) * n] for p in range(parts)] for _, x, _ in kept]
+    books = [[c[p] for c in cut[:entries]] for p in range(parts)]
+    near = lambda part, book: min((sum((a - b) ** 2 for a, b in zip(part, entry)), k) for k, entry in enumerate(book))
+    for t in range(rounds + 1):
+        found = [[near(c[p], books[p]) for p in range(parts)] for c in cut]
+        if t == rounds:
+            break
+        for p in range(parts):
+            for k in range(len(books[p])):
+                mine = [c[p] for c, f in zip(cut, found) if f[p][1] == k]
+                if mine:
+                    books[p][k] = [sum(v) // len(mine) for v in zip(*mine)]
+    digest = sha(",".join(str(v) for book in books for entry in book for v in entry))
+    by_label = Counter()
+    for (_, _, label), f in zip(kept, found):
+        by_label[label] += sum(d for d, _ in f)
+    return [(i, "".join(f"{k:02x}" for _, k in f), sum(d for d, _ in f), by_label[label], digest) for (i, _, label), f in zip(kept, found)]
+
+
+def merkle(rows):
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of (doc_id, source, lang, n_chars, text); each tree built whole."""
+    import zlib
+    part = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaf = lambda r: sha("".join(map(part, r)))
+    small = lambda t: None if t is None else "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+    groups: dict = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append(r)
+
+    def tree(nodes):
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            levels.append([sha("".join(levels[-1][i:i + 8])) for i in range(0, len(levels[-1]), 8)])
+        return levels
+
+    def way(levels, at):
+        out = []
+        for nodes in levels[:-1]:
+            run = at // 8 * 8
+            out.append(("".join(nodes[run:at]), "".join(nodes[at + 1:run + 8])))
+            at //= 8
+        return out
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: tree([leaf(r) for r in sorted(groups[g], key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))]) for g in names}
+    top = tree([trees[g][-1][0] for g in names])
+    out = []
+    for k, g in enumerate(names):
+        for at, r in enumerate(sorted(groups[g], key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))):
+            steps = way(trees[g], at) + way(top, k)
+            changed = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0
+            digest = leaf((*r[:4], small(r[4]))) if changed else leaf(r)
+            for a, b in steps:
+                digest = sha(a + digest + b)
+            out.append((r[0], leaf(r), trees[g][-1][0], top[-1][0], sha("".join(a + b for a, b in steps)), digest, digest == top[-1][0]))
+    return out

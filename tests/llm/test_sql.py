@@ -12,7 +12,8 @@ from upcheck.llm.queries import QUERIES, SQL
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from read_parquet('{SF_SMALL}/documents.parquet{'/*' if _folder() else ''}')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"create view {table} as select * from read_parquet('{SF_SMALL}/{table}.parquet{'/*' if _folder(table) else ''}')")
     df = QUERIES[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
     res = con.execute(SQL[name])
@@ -21,12 +22,12 @@ def test_query_matches_sql(spark, name):
     assert digest(df.columns, got) == digest(columns, rows)
 
 
-def _folder() -> bool:
+def _folder(table: str) -> bool:
     import os
-    return os.path.isdir(f"{SF_SMALL}/documents.parquet")
+    return os.path.isdir(f"{SF_SMALL}/{table}.parquet")
 
 
 def test_registered():
     names = set(entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}

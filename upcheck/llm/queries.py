@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from public_tokenizers import PATTERN
 from public_tokenizers import path as tokenizer_path
 
-from upcheck.llm import bpe, host_quality, jaccard, langid, oracles, packing, pii, simhash, substring_dedup, suffix_dedup, toxicity
+from upcheck.llm import bpe, byte_pieces, host_quality, jaccard, langid, merkle, oracles, packing, pii, simhash, substring_dedup, suffix_dedup, toxicity, vector_codes
 from upcheck.llm.common import Scratch
 
 
@@ -94,6 +97,35 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null doc_id has no decimal form and is never tampered with."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    out = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", {"text": F.translate("text", CAPITALS, SMALL)}, tampered)
+    return out.select("doc_id", "leaf", "subroot", "root", hex_sha256(F.array_join("proof", "").cast("binary")).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_byte_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.tiktoken")
+    ids = byte_pieces.encode(table(spark, sf_dir, "documents"), path, PATTERN, ["doc_id"])
+    out = byte_pieces.decode(ids, path, PATTERN, ["doc_id", "ids"])
+    return out.select("doc_id", byte_pieces.count_of().alias("n_tokens"), hex_sha256("ids").alias("ids_sha256"), hex_sha256("decoded").alias("decoded_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"), "embedding", "vec_id", ["vec_id", "label"])
+    scratch = Scratch(spark)
+    codes = scratch.save(codes, "codes")
+    sums = scratch.save(codes.groupBy(F.col("label").alias("same")).agg(F.sum("error").alias("label_error")), "label_errors")
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return (codes.join(sums, F.col("label").eqNullSafe(F.col("same")))
+            .select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256")))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -105,6 +137,9 @@ QUERIES = {
     "op8_byte_pair": op8_byte_pair,
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_byte_pieces": op12_byte_pieces,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 SQL: dict[str, str] = {
@@ -112,4 +147,6 @@ SQL: dict[str, str] = {
     "op2_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op5_host_quality": oracles.HOST_QUALITY,
     "op7_jaccard_join": oracles.JACCARD_JOIN,
+    "op11_merkle_manifest": oracles.MERKLE_MANIFEST,
+    "op13_vector_codes": oracles.VECTOR_CODES,
 }
