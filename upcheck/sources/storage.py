@@ -43,11 +43,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     return path
 
 
-def materialize(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> DataFrame:
-    """Write ``df`` below the shared folder and return a DataFrame reading it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "materialized", name)
+def materialize_path(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> str:
+    """Write ``df`` below the shared folder; where."""
+    path = scratch_path(df.sparkSession, "materialized", name)
     for paths in _TRACKED:
         paths.append(path)
-    write_table(df, path, partition_by=partition_by)
-    return spark.read.schema(df.schema).parquet(path)
+    return write_table(df, path, partition_by=partition_by)
+
+
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> DataFrame:
+    """Write ``df`` below the shared folder and return a DataFrame reading it."""
+    return df.sparkSession.read.schema(df.schema).parquet(materialize_path(df, name, partition_by))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
