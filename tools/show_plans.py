@@ -41,7 +41,7 @@ def main() -> None:
         "q_conflict_audit (one-pass conflict audit)": lambda: c.q_conflict_audit(spark, args.sf_dir),
         "q_quarantine_strict (token validation, id-level quarantine)":
             lambda: c.q_quarantine_strict(spark, args.sf_dir),
-        "upload job: final clean rows (the one wide join, over the landed table)":
+        "upload job: final clean rows (the one wide join, over the upload)":
             lambda: process_upload(*c.ab_inputs(spark, args.sf_dir), c.AB_PRESET).clean,
         "upload job: audit (narrow read of the flagged rows)":
             lambda: process_upload(*c.ab_inputs(spark, args.sf_dir), c.AB_PRESET).audit,

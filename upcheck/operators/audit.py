@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,6 +72,21 @@ def unknown_id_report(unknown: DataFrame, id_col: str, n: int = 20) -> DataFrame
     return ids.orderBy(id_col).limit(n).withColumn("n_unknown", F.lit(ids.count()).cast("long"))
 
 
+def audit_sample(audit: DataFrame, id_col: str, n: int = 20) -> DataFrame:
+    """``(conflict_columns, resolved, ids)``: of every kind of conflict the ``n`` ids that hash least.
+
+    The same ids on every run and however the audit is partitioned.  Each task
+    keeps ``n`` ids of a kind at most before rows are shuffled.
+    """
+    kind = [F.array_join(AUDIT_LIST_COL, ",").alias(AUDIT_LIST_COL), F.col(AUDIT_FLAG_COL)]
+    ids = audit.select(*kind, F.col(id_col).cast("string").alias("__id")).where("__id is not null").distinct()
+    least = Window.partitionBy(AUDIT_LIST_COL, AUDIT_FLAG_COL).orderBy(F.md5(F.col("__id").cast("binary")), "__id")
+    chosen = ids.withColumn("__rank", F.row_number().over(least)).where(F.col("__rank") <= n)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("__rank", "__id"))), lambda x: x["__id"])
+    return chosen.groupBy(AUDIT_LIST_COL, AUDIT_FLAG_COL).agg(listed.alias("ids"))
+
+
 def sample_ids(audit: DataFrame, id_col: str, n: int = 20) -> list:
-    """A bounded sample of offending ids for a log line (never an unbounded collect)."""
-    return [r[0] for r in audit.select(id_col).where(F.col(id_col).isNotNull()).limit(n).collect()]
+    """The ``n`` offending ids that hash least, for a log line: the same on every run, never an unbounded collect."""
+    ids = audit.select(id_col).where(F.col(id_col).isNotNull()).distinct()
+    return [r[0] for r in ids.orderBy(F.md5(F.col(id_col).cast("string").cast("binary")), id_col).limit(n).collect()]

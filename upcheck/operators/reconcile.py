@@ -57,6 +57,7 @@ _FLAG = "__uc_f"
 _FIX = "__uc_a"
 _FIXED = "__uc_fix"
 _BAD = "__uc_bad"
+_TIMES = "__uc_times"
 
 
 class UnresolvedConflictError(RuntimeError):
@@ -163,9 +164,10 @@ def conflict_status(conflicts: DataFrame, authority: DataFrame, spec: ReconcileS
     entries = (_entries(conflicts, spec, spec.ids, with_nullflag=True)
                .groupBy(*spec.ids, _CNAME, _VALUE).agg(F.bool_or(_ANYNULL).alias(_ANYNULL)))
     # only authority rows of ids that conflict can matter: filter before
-    # unpivoting.  Both sides are plain rows, so AQE can split a hot id of the
-    # authority; duplicates on the right of a semi join do no harm
-    relevant = authority.join(conflicts.select(spec.id_col), spec.id_col, "left_semi")
+    # unpivoting.  The ids are distinct and written, so that an id with very many
+    # conflicting tuples is one row here, and AQE can split a hot id of the authority
+    hit = materialize(conflicts.select(spec.id_col).where(F.col(spec.id_col).isNotNull()).distinct(), "conflict_ids")
+    relevant = authority.join(hit, spec.id_col, "left_semi")
     known = (_entries(relevant, spec, [spec.id_col], with_nullflag=False)
              .where(F.col(_VALUE).isNotNull())
              .distinct()
@@ -216,12 +218,18 @@ class Conflicts:
         return known.join(values, spec.id_col)
 
 
-def find_conflicts(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec) -> Conflicts:
-    """Compare identity tuples (one narrow pass; hot copies collapse before the
-    shuffle) and write the conflicting ones and their ids' status."""
+def identity_counts(upload: DataFrame, spec: ReconcileSpec) -> DataFrame:
+    """Identity tuples and how often they occur (one narrow pass; hot copies collapse before the shuffle)."""
+    return upload.groupBy(*spec.audit_keys).count()
+
+
+def find_conflicts(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec, counts: DataFrame | None = None) -> Conflicts:
+    """Compare identity tuples and write the conflicting ones and their ids' status.
+
+    ``counts`` are the upload's ``identity_counts`` where they are written already."""
     auth = align_authority(authority, spec, upload)
     keys = list(spec.keys)
-    counts = upload.groupBy(*spec.audit_keys).count()
+    counts = identity_counts(upload, spec) if counts is None else counts
     tuples = materialize(counts.join(auth.select(*keys).distinct(), keys, "left_anti"), "conflict_tuples")
     status = conflict_status(tuples, auth, spec).where(F.col(spec.id_col).isNotNull())
     return Conflicts(auth, tuples, materialize(status, "conflict_status"))
@@ -237,13 +245,17 @@ def conflict_audit(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec)
     return found.audit(spec).unionByName(as_audit(null_rows, spec.audit_keys, every, F.lit("no")))
 
 
-def per_id_table(found: Conflicts, spec: ReconcileSpec, more: DataFrame | None = None) -> DataFrame:
+def per_id_table(found: Conflicts, spec: ReconcileSpec, more: DataFrame | None = None, times: bool = False) -> DataFrame:
     """Per conflicting id one row (unknown) or its authority rows (known); ids
-    of ``more`` (``(scope..., id, flags...)``) are joined in.  Written: it is the one
-    table that upload rows meet."""
+    of ``more`` (``(scope..., id, flags...)``) are joined in.  With ``times`` each
+    also says how many rows of the id conflict.  Written: it is the one table
+    that upload rows meet."""
     ids = list(spec.ids)
     fixes = found.fixes(spec).withColumn(_FIXED, F.lit(True))
-    table = found.status.select(*ids, _UNKNOWN).join(fixes, ids, "left")
+    table = found.status.select(*ids, _UNKNOWN)
+    if times:
+        table = table.join(found.tuples.groupBy(*ids).agg(F.sum("count").alias(_TIMES)), ids)
+    table = table.join(fixes, ids, "left")
     return materialize(table if more is None else table.join(more, ids, "full"), "per_id")
 
 
@@ -251,11 +263,14 @@ def rebuilt(rows: DataFrame, table: DataFrame, spec: ReconcileSpec) -> DataFrame
     """``rows`` and the columns of ``table`` (``per_id_table``): rows of unknown ids
     are dropped; a row of a conflicting known id meets every authority row of
     its id and takes their identity values (n rows and m of the authority make
-    n*m).  ``__uc_fix`` says which were rebuilt, ``__uc_bad`` which can never match."""
+    n*m; with how often the id conflicts in ``table``, each as often: n*m*k by
+    arithmetic, expanded after the join).  ``__uc_fix`` says which were rebuilt, ``__uc_bad`` which can never match."""
     joined = keyed_join(rows, table, spec.ids, "left").where(~F.coalesce(F.col(_UNKNOWN), F.lit(False)))
     fix = F.coalesce(F.col(_FIXED), F.lit(False))
     place = {k: i for i, k in enumerate(spec.attr_cols)}
-    more = [c for c in table.columns if c not in spec.ids and not c.startswith(_FIX) and c not in (_UNKNOWN, _FIXED)]
+    more = [c for c in table.columns if c not in spec.ids and not c.startswith(_FIX) and c not in (_UNKNOWN, _FIXED, _TIMES)]
+    if _TIMES in table.columns:
+        joined = repeat_rows(joined.withColumn(_TIMES, F.when(fix, F.col(_TIMES)).otherwise(F.lit(1))), _TIMES)
     out = joined.select(
         *[F.when(fix, F.col(f"{_FIX}{place[c]}")).otherwise(F.col(c)).alias(c) if c in place else F.col(c)
           for c in rows.columns], *more, fix.alias(_FIXED))
@@ -291,7 +306,7 @@ def observed(rows: DataFrame, obs: Observation) -> DataFrame:
 
 
 def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
-              on_unresolvable: str = "keep") -> Reconciled:
+              on_unresolvable: str = "keep", dedupe_ids: bool = True) -> Reconciled:
     """Compare identity columns with the authority; return clean rows and the audit.
 
     ``on_unresolvable``: ``'fail'`` raises at once when a row can never match
@@ -300,6 +315,9 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
     them in ``unresolved`` too; ``'quarantine'`` moves them from ``clean`` into
     the audit with ``resolved='no'``.
 
+    ``dedupe_ids=False`` is the bag form: an id with k conflicting rows is
+    rebuilt k times, so its n rows and m authority rows make n*m*k.
+
     The conflicting tuples and the per-id table are written (they hold
     conflicting ids only).  The clean rows are then lazy: one pass over the
     upload with one join by id.
@@ -310,7 +328,7 @@ def reconcile(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec,
     if on_unresolvable == "fail" and (n := count_unresolvable(found, spec)):
         raise _unresolved_error(n)
     obs = Observation()  # unique name: reconciled frames may be reconciled again
-    rows = rebuilt(upload, per_id_table(found, spec), spec)
+    rows = rebuilt(upload, per_id_table(found, spec, times=not dedupe_ids), spec)
     both = observed(rows, obs)
     audit = found.audit(spec)
     if on_unresolvable == "quarantine":

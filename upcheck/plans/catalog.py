@@ -15,14 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upcheck.functions.text import extract_int
-from upcheck.operators.audit import empty_audit, key_fields, lookup_audit, summarize_audit, union_audit, unknown_id_report
+from upcheck.operators import delta
+from upcheck.operators.audit import audit_sample, empty_audit, key_fields, lookup_audit, summarize_audit, union_audit, unknown_id_report
+from upcheck.operators.bloom import filtered_mismatches
 from upcheck.operators.columns import check_schema, drop_all_null, normalise_columns, schema_report
+from upcheck.operators.columnwise import column_mismatches
 from upcheck.operators.reconcile import (ReconcileSpec, align_authority, conflict_audit,
                                          exact_mismatches, reconcile, residual, unknown_ids)
+from upcheck.operators.rowwise import unmatched_rows
 from upcheck.operators.validate import TokenRule, clean_tokens, validate_tokens
 from upcheck.plans import fixtures as fx
 from upcheck.plans.presets import UploadPreset, sequence_columns
-from upcheck.plans.stream_demo import FILES, ingest_oracle, run_ingest, run_job
+from upcheck.plans.stream_demo import FILES, holds_oracle, ingest_oracle, run_holds, run_ingest, run_job
 from upcheck.plans.upload_job import audit_as_text, process_upload
 from upcheck.session import scratch_path
 from upcheck.sources.csv import read_upload_csv, write_csv
@@ -122,6 +126,54 @@ def q_reconciled_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(up, auth, DUP_SPEC).clean
 
 
+def q_reconciled_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bag form, by id: an id's rows, its authority's rows and its conflicts multiplied."""
+    up = fx.spark_fixture(spark, sf_dir, fx.DUP_UPLOAD)
+    auth = fx.spark_fixture(spark, sf_dir, fx.DUP_AUTH)
+    clean = reconcile(up, auth, DUP_SPEC, dedupe_ids=False).clean
+    return clean.groupBy("id").agg(F.count("*").alias("n_rows"), F.sum("pay").alias("pay"), F.sum("ln").alias("ln"), F.count("ls").alias("n_ls"))
+
+
+def _updated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, delta.Kept, delta.Update]:
+    """Rows and tables of a run against the first authority, and what the later one changes."""
+    sub, auth = _sub(spark, sf_dir)
+    kept = delta.keep(sub, auth, SUB_SPEC)
+    return sub, kept, delta.update(sub, kept, fx.spark_fixture(spark, sf_dir, fx.AUTH_LATER), SUB_SPEC)
+
+
+def q_authority_update_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows against a later authority: those of the run before, and anew for the ids that changed."""
+    sub, kept, change = _updated(spark, sf_dir)
+    return delta.replace_ids(delta.clean_rows(sub, kept, SUB_SPEC), change.clean, change.ids, "id")
+
+
+def q_authority_update_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit against a later authority, from the updated tables."""
+    return audit_as_text(_updated(spark, sf_dir)[2].kept.found.audit(SUB_SPEC))
+
+
+def q_audit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sub, auth = _sub(spark, sf_dir)
+    return audit_sample(reconcile(sub, auth, SUB_SPEC).audit, "id").select("conflict_columns", "resolved", F.array_join("ids", ",").alias("ids"))
+
+
+def q_whole_row_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upload rows that no authority row equals in all columns; rows with a null and copies stay."""
+    up = fx.spark_fixture(spark, sf_dir, fx.DUP_UPLOAD).drop("pay")
+    return unmatched_rows(up.unionAll(up.where("ln % 2 = 0")), fx.spark_fixture(spark, sf_dir, fx.DUP_AUTH))
+
+
+def q_filtered_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order rows against all line tuples, most of which a filter drops before they are shuffled."""
+    return filtered_mismatches(fx.spark_fixture(spark, sf_dir, fx.FIRST_LINES), fx.spark_fixture(spark, sf_dir, fx.DUP_AUTH), DUP_SPEC.keys)
+
+
+def q_column_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upload rows whose run their id does not have in the authority."""
+    sub, auth = _sub(spark, sf_dir)
+    return column_mismatches(sub, align_authority(auth, SUB_SPEC, sub), SUB_SPEC, "run")
+
+
 def q_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
     sub, auth = _sub(spark, sf_dir)
     clean = reconcile(sub, auth, SUB_SPEC).clean
@@ -182,6 +234,11 @@ def q_stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_job(spark, sf_dir)[1]
 
 
+def q_stream_holds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids at fault in one upload, held over later ones until a fix."""
+    return run_holds(spark, sf_dir)
+
+
 def q_csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The CSV sink: joined lists, hostile values, white space kept."""
     orders = fx.spark_fixture(spark, sf_dir, fx.ORDERS_CSV)
@@ -228,6 +285,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_reconciled": q_reconciled,
     "q_reconciled_audit": q_reconciled_audit,
     "q_reconciled_dup": q_reconciled_dup,
+    "q_reconciled_bag": q_reconciled_bag,
+    "q_whole_row_anti": q_whole_row_anti,
+    "q_authority_update_clean": q_authority_update_clean,
+    "q_authority_update_audit": q_authority_update_audit,
+    "q_audit_sample": q_audit_sample,
+    "q_filtered_mismatch": q_filtered_mismatch,
+    "q_column_mismatch": q_column_mismatch,
     "q_residual": q_residual,
     "q_clean_tokens": q_clean_tokens,
     "q_seq_audit_strict": q_seq_audit_strict,
@@ -239,6 +303,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_stream_ingest": q_stream_ingest,
     "q_stream_clean": q_stream_clean,
     "q_stream_audit": q_stream_audit,
+    "q_stream_holds": q_stream_holds,
     "q_csv_sink": q_csv_sink,
     "q_schema_report": q_schema_report,
     "q_audit_union": q_audit_union,
@@ -311,17 +376,17 @@ cl as (select cid,
        from pid)"""
 
 
-def _sub_ctes(more: bool = True) -> str:
+def _sub_ctes(more: bool = True, authority: str = fx.AUTH) -> str:
     return (f"with up as ({fx.duck_fixture(fx.SUB)}),\n"
-            f"auth as ({fx.duck_fixture(fx.AUTH)})" + ("," if more else "\n"))
+            f"auth as ({fx.duck_fixture(authority)})" + ("," if more else "\n"))
 
 
 _SUB_ATTRS = ["sequence_id", "run", "antigen"]
 _SUB_AUTH_ATTRS = ["alias", "run", "antigen"]
 
 
-def _sub_audit_sql() -> str:
-    return (_sub_ctes()
+def _sub_audit_sql(authority: str = fx.AUTH) -> str:
+    return (_sub_ctes(authority=authority)
             + _reconcile_ctes("up", "auth", "id", _SUB_ATTRS, "sample_id", _SUB_AUTH_ATTRS) + ","
             + _oracle_conflict_lists("rc_mis", "auth", "id", _SUB_ATTRS, "sample_id",
                                      _SUB_AUTH_ATTRS)
@@ -331,8 +396,8 @@ from rc_mis m join cl on m.id = cl.cid
 where cl.conflict_columns <> ''""")
 
 
-def _sub_clean_sql() -> str:
-    return (_sub_ctes()
+def _sub_clean_sql(authority: str = fx.AUTH) -> str:
+    return (_sub_ctes(authority=authority)
             + _reconcile_ctes("up", "auth", "id", _SUB_ATTRS, "sample_id", _SUB_AUTH_ATTRS)
             + _oracle_reconciled_rows("up", "auth", "id", _SUB_ATTRS, "sample_id",
                                       _SUB_AUTH_ATTRS, ["pay"],
@@ -452,6 +517,31 @@ def oracle_sql() -> dict[str, str]:
                              + _oracle_reconciled_rows("up", "auth", "id", ["ln", "rf", "ls"], "id",
                                                        ["ln", "rf", "ls"], ["pay"],
                                                        ["id", "ln", "rf", "ls", "pay"])),
+        "q_reconciled_bag": f"""
+with up as ({fx.duck_fixture(fx.DUP_UPLOAD)}), auth as ({fx.duck_fixture(fx.DUP_AUTH)}),
+mis as (select id, count(*) as k from up u where not exists
+        (select 1 from auth a where a.id = u.id and a.ln = u.ln and a.rf = u.rf and a.ls = u.ls) group by id),
+a as (select id, count(*) as m, sum(ln) as ln, count(ls) as n_ls from auth group by id),
+n as (select id, count(*) as n, sum(pay) as pay, sum(ln) as ln, count(ls) as n_ls from up group by id)
+select n.id, cast(case when k is null then n.n else n.n * a.m * k end as bigint) as n_rows,
+       cast(case when k is null then n.pay else n.pay * a.m * k end as bigint) as pay,
+       cast(case when k is null then n.ln else a.ln * n.n * k end as bigint) as ln,
+       cast(case when k is null then n.n_ls else a.n_ls * n.n * k end as bigint) as n_ls
+from n left join mis on mis.id = n.id left join a on a.id = n.id""",
+        "q_whole_row_anti": f"""
+with up as (select id, ln, rf, ls from ({fx.duck_fixture(fx.DUP_UPLOAD)}) u0), auth as ({fx.duck_fixture(fx.DUP_AUTH)}),
+twice as (select * from up union all select * from up where ln % 2 = 0)
+select * from twice u where not exists (select 1 from auth a where a.id = u.id and a.ln = u.ln and a.rf = u.rf and a.ls = u.ls)""",
+        "q_authority_update_clean": _sub_clean_sql(fx.AUTH_LATER),
+        "q_authority_update_audit": _sub_audit_sql(fx.AUTH_LATER),
+        "q_audit_sample": (f"select conflict_columns, resolved, string_agg(id, ',' order by md5(id), id) as ids from "
+                           f"(select * from (select distinct conflict_columns, resolved, id from ({sub_audit}) t) "
+                           "qualify row_number() over (partition by conflict_columns, resolved order by md5(id), id) <= 20) group by conflict_columns, resolved"),
+        "q_filtered_mismatch": f"""
+with up as ({fx.duck_fixture(fx.FIRST_LINES)}), auth as ({fx.duck_fixture(fx.DUP_AUTH)})
+select * from up u where not exists (select 1 from auth a where a.id = u.id and a.ln = u.ln and a.rf = u.rf and a.ls = u.ls)""",
+        "q_column_mismatch": (_sub_ctes(False) + "select u.* from up u where not exists "
+                              "(select 1 from auth a where a.sample_id = u.id and a.run = u.run)"),
         "q_residual": (_sub_ctes() + _reconcile_ctes("up", "auth", "id", _SUB_ATTRS, "sample_id",
                                                      _SUB_AUTH_ATTRS)
                        + ",\nrc as (" + _oracle_reconciled_rows("up", "auth", "id", _SUB_ATTRS,
@@ -472,6 +562,7 @@ def oracle_sql() -> dict[str, str]:
         "q_stream_ingest": ingest_oracle(_int_sql),
         "q_stream_clean": stream_clean,
         "q_stream_audit": stream_audit,
+        "q_stream_holds": holds_oracle(_invalid_sql),
         "q_csv_sink": f"select order_key, concat(order_status, ';', order_priority) as marks, note from ({orders_csv}) o",
         "q_schema_report": _schema_report_sql(),
         "q_audit_union": f"with a as ({sub_audit}) select * from a union all select * from a where resolved = 'no'",

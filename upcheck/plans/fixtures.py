@@ -52,6 +52,18 @@ select case when o_orderkey % 11 = 0 then concat('X', o_orderkey) else concat('P
 from {orders}
 """
 
+# The authority some days later: rows gone (every 17th order), one more row (every 19th), another run
+# (every 23rd), rows for ids unknown before (every 121st).
+AUTH_LATER = """
+select sample_id, alias, case when k % 23 = 0 then run + 1 else run end as run, antigen
+from (select o_orderkey as k, concat('P', o_orderkey) as sample_id, concat('S', o_custkey) as alias,
+             cast(o_orderkey % 50 as bigint) as run, o_orderpriority as antigen from {orders}) o where k % 17 <> 0
+union all
+select concat('P', o_orderkey), concat('T', o_custkey), cast(99 as bigint), o_orderpriority from {orders} where o_orderkey % 19 = 0
+union all
+select concat('X', o_orderkey), concat('S', o_custkey), cast(o_orderkey % 50 as bigint), o_orderpriority from {orders} where o_orderkey % 121 = 0
+"""
+
 # Token table: null s1, blank s1, invalid s2 ('Brand#n'); ids repeat.
 SEQ = """
 select l_orderkey as id, l_linenumber as ln,
@@ -78,6 +90,13 @@ select l_orderkey as id, cast(l_linenumber as bigint) as ln,
 from {lineitem}
 """
 
+# A small upload beside a large authority: every order's first line, as its header tells it.
+FIRST_LINES = """
+select o_orderkey as id, cast(1 as bigint) as ln, case when o_orderstatus = 'F' then 'R' else 'N' end as rf,
+       case when o_orderkey % 31 = 0 then null else o_orderstatus end as ls
+from {orders}
+"""
+
 # Run-like strings from three tables.
 RUNS = """
 select 'documents' as src, source as raw from {documents}
