@@ -396,10 +396,10 @@ def one_of_each(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     kept = scratch.save(first.select(F.col("x.rk").alias(key), F.lit(False).alias(alone)).unionByName(
         placed.where("label is null").select(F.col("rk").alias(key), F.lit(True).alias(alone)).distinct()), "kept_rows")
     rows = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(kept, key)
-    # rows that repeat id and text share a key: of those with shingles one stays
-    each = unused("each", docs.columns)
-    rows = rows.withColumn(each, F.when(F.col(alone), F.monotonically_increasing_id()).otherwise(F.lit(-1)))
-    return rows.dropDuplicates([key, each]).select(*docs.columns)
+    # rows that repeat id and text share a key: of those with shingles one stays; nothing tells the others apart, so
+    # they pass as they are and no task has to number them
+    one = rows.where(~F.col(alone)).dropDuplicates([key])
+    return rows.where(alone).unionAll(one).select(*docs.columns)
 
 
 def _extended(links: DataFrame, labels: DataFrame, more: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
