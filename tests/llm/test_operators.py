@@ -85,6 +85,33 @@ def test_simhash_votes(spark):
     assert df.first().fp & (2**64 - 1) == expected
 
 
+def test_simhash_against_plain_fingerprints(spark):
+    """All columns of whole texts: votes counted word by word, the radius search by comparing all pairs."""
+    import re
+    import xxhash
+    from upcheck.llm import simhash
+    small = "/root/testdata/sf0.001"
+    docs = sorted(((r.doc_id, r.text or "") for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()), reverse=True)
+
+    def plain(text):
+        terms = Counter(w for w in re.split(r"[\x20\x09-\x0D]+", text) if w)
+        weights = [(xxhash.xxh64_intdigest(w.encode(), seed=42), min(len(w), 8) ** 2 * n) for w, n in terms.items()]
+        total = sum(n for _, n in weights)
+        return sum(1 << b for b in range(64) if 2 * sum(n for h, n in weights if h >> b & 1) > total)
+    prints = [plain(t) for _, t in docs]
+    apart = lambda a, b: bin(a ^ b).count("1")
+    got = {r.doc_id: r for r in QUERIES["op3_simhash"](spark, small).collect()}
+    assert len(got) == len(docs)
+    for i, (doc, text) in enumerate(docs):
+        r, after = got[doc], (i + 1) % len(docs)
+        edited = plain(text[:len(text) - len(text) // 2] + docs[after][1][:len(text) // 2])
+        assert (r.fingerprint, r.edited_fingerprint) == (f"{prints[i]:016x}", f"{edited:016x}")
+        assert (r.near_edited, r.near_next) == (1 - apart(prints[i], edited) / 64, 1 - apart(prints[i], prints[after]) / 64)
+        near = [p for p in prints if apart(p, prints[i]) <= simhash.RADIUS]
+        assert r.n_within == (len(near) if doc % 100 == 0 else None)
+        assert r.within == (",".join(sorted({f"{p:016x}" for p in near})) if doc % 100 == 0 else None)
+
+
 def test_language_id(spark, edge_dir, edge):
     out = QUERIES["op4_language_id"](spark, edge_dir).collect()
     assert Counter(r.doc_id for r in out) == Counter(d for d, _ in edge)
