@@ -292,12 +292,10 @@ def manifest(rows: DataFrame, fields: list[str], group: str, order: str, changed
     leaves = rows.select(tree.alias("tree"), F.col(order).alias("key"), leaf(*map(F.col, fields)).alias("digest"), F.when(F.lit(False) if when is None else when, other).alias("changed"))
     counted = leaves.groupBy("tree", "key", "digest", "changed").agg(F.count("*").alias("copies"))
     trees = Steps(leaf_blocks(placed(counted, ["key", "digest"], scratch)), scratch, "leaf")
-    scratch.drop("ranges", "range_sizes")
 
     # the trees' tops are the leaves of one more tree, in the order of their groups
     tops = trees.tops.select(F.lit("").alias("tree"), F.col("tree").alias("key"), "digest", F.lit(None).cast("string").alias("changed"), F.lit(1).cast("bigint").alias("copies"))
     last = Steps(leaf_blocks(placed(tops, ["key"], scratch)), scratch, "group")
-    scratch.drop("ranges", "range_sizes")
     root = last.tops.first()
     start = last.tops.select("tree", F.expr(f"cast(array() as {WAY_SQL})").alias("way"), F.lit("").alias("subroot"))
     above = scratch.save(handed(last.ways(start, scratch, 0), 0, trees=True).drop("at"), "ways")
