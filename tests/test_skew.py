@@ -117,3 +117,12 @@ def test_hot_id_quarantine(spark, skew_conf):
     df = spark.createDataFrame(rows, "id string, s string, t string")
     clean, audit = validate_tokens(df, None, TokenRule(("s",), "ACDEFGHIKLMNPQRSTVWY"), "id", ("id",))
     assert clean.count() == 6000 and audit.count() == 7
+
+
+def test_small_counts_are_expanded_in_place(spark):
+    """Counts known to be small cost no shuffle; the rows are the same."""
+    df = spark.createDataFrame([("a", 3), ("b", 0), ("c", 1), ("d", None)], "k string, count long")
+    here = repeat_rows(df, "count", fanout=4, most=3)
+    assert "Exchange" not in here._jdf.queryExecution().executedPlan().toString()
+    assert Counter(r.k for r in here.collect()) == Counter(r.k for r in repeat_rows(df, "count", fanout=4).collect()) == {"a": 3, "c": 1}
+    assert Counter(r.k for r in repeat_rows(df, "count", fanout=2, most=3).collect()) == {"a": 3, "c": 1}

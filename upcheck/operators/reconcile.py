@@ -139,8 +139,9 @@ def unknown_ids(upload: DataFrame, authority: DataFrame, id_col: str) -> DataFra
 
 
 def _entries(df: DataFrame, spec: ReconcileSpec, ids: Sequence[str], with_nullflag: bool) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(k).alias(_CNAME), F.col(k).cast("string").alias(_VALUE))
-                      for k in spec.keys])
+    # the id itself is in every entry, so its own one has no value but says that it is there
+    values = [F.when(F.col(k).isNotNull(), F.lit("")) if i == 0 else F.col(k).cast("string") for i, k in enumerate(spec.keys)]
+    pairs = F.array(*[F.struct(F.lit(i).cast("tinyint").alias(_CNAME), v.alias(_VALUE)) for i, v in enumerate(values)])
     cols = [F.col(c) for c in ids]
     if with_nullflag:
         cols.append(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys]).alias(_ANYNULL))
@@ -175,10 +176,10 @@ def conflict_status(conflicts: DataFrame, authority: DataFrame, spec: ReconcileS
     miss = F.col(_HIT).isNull()
     flags = (entries.join(known, [spec.id_col, _CNAME, _VALUE], "left")
              .groupBy(*spec.ids)
-             .agg(F.bool_or((F.col(_CNAME) == spec.id_col) & miss).alias(_UNKNOWN),
+             .agg(F.bool_or((F.col(_CNAME) == 0) & miss).alias(_UNKNOWN),
                   F.bool_or(_ANYNULL).alias(_ANYNULL),
-                  *[F.bool_or((F.col(_CNAME) == k) & miss).alias(f"{_FLAG}{i}")
-                    for i, k in enumerate(spec.attr_cols)]))
+                  *[F.bool_or((F.col(_CNAME) == i + 1) & miss).alias(f"{_FLAG}{i}")
+                    for i in range(len(spec.attr_cols))]))
     unknown_list = F.array(F.lit(spec.id_col),
                            *[F.when(F.col(_ANYNULL), F.lit(k)) for k in spec.attr_cols])
     known_list = F.array(*[F.when(F.col(f"{_FLAG}{i}"), F.lit(k))
@@ -197,7 +198,12 @@ def _audit_rows(tuples: DataFrame, status: DataFrame, spec: ReconcileSpec) -> Da
     of an id with a non-empty list is repeated as often as it occurs."""
     listed = status.where(F.size(AUDIT_LIST_COL) > 0).select(*spec.ids, AUDIT_LIST_COL)
     rows = tuples.where(F.col(spec.id_col).isNotNull()).join(listed, list(spec.ids))
-    return as_audit(repeat_rows(rows, "count"), spec.audit_keys, F.col(AUDIT_LIST_COL), _resolved_flag(spec))
+    return as_audit(repeat_rows(rows, "count", most=_largest(tuples, "count")), spec.audit_keys, F.col(AUDIT_LIST_COL), _resolved_flag(spec))
+
+
+def _largest(table: DataFrame, column: str) -> int:
+    """The largest number in a column of a written table."""
+    return table.agg(F.max(column)).first()[0] or 0
 
 
 @dataclass
@@ -240,7 +246,7 @@ def conflict_audit(upload: DataFrame, authority: DataFrame, spec: ReconcileSpec)
     found = find_conflicts(upload, authority, spec)
     # a null id is never known and never equal to anything: each such row
     # conflicts on every identity column
-    null_rows = repeat_rows(found.tuples.where(F.col(spec.id_col).isNull()), "count")
+    null_rows = repeat_rows(found.tuples.where(F.col(spec.id_col).isNull()), "count", most=_largest(found.tuples, "count"))
     every = F.array(*[F.lit(k) for k in spec.keys])
     return found.audit(spec).unionByName(as_audit(null_rows, spec.audit_keys, every, F.lit("no")))
 
@@ -270,7 +276,7 @@ def rebuilt(rows: DataFrame, table: DataFrame, spec: ReconcileSpec) -> DataFrame
     place = {k: i for i, k in enumerate(spec.attr_cols)}
     more = [c for c in table.columns if c not in spec.ids and not c.startswith(_FIX) and c not in (_UNKNOWN, _FIXED, _TIMES)]
     if _TIMES in table.columns:
-        joined = repeat_rows(joined.withColumn(_TIMES, F.when(fix, F.col(_TIMES)).otherwise(F.lit(1))), _TIMES)
+        joined = repeat_rows(joined.withColumn(_TIMES, F.when(fix, F.col(_TIMES)).otherwise(F.lit(1))), _TIMES, most=_largest(table, _TIMES))
     out = joined.select(
         *[F.when(fix, F.col(f"{_FIX}{place[c]}")).otherwise(F.col(c)).alias(c) if c in place else F.col(c)
           for c in rows.columns], *more, fix.alias(_FIXED))

@@ -41,16 +41,21 @@ def keyed_join(rows: DataFrame, table: DataFrame, keys: str | Sequence[str], how
     return left.join(right, [*keys, _DEAL], how).drop(_DEAL)
 
 
-def repeat_rows(df: DataFrame, count_col: str, fanout: int = 4096) -> DataFrame:
+def repeat_rows(df: DataFrame, count_col: str, fanout: int = 4096, most: int | None = None) -> DataFrame:
     """Each row ``count_col`` times (bag expansion).
 
     Arrays never exceed ``fanout`` elements: a count is cut into chunks of
     ``fanout`` (two levels cover ``fanout**3`` copies), and the chunks are dealt
     round-robin over tasks before they are expanded, so a tuple with a third of
     all rows is written by many tasks.  One pass over ``df``.
+
+    ``most`` is the largest count where the caller knows it; if it is ``fanout`` at
+    most, rows are expanded where they are, without that shuffle.
     """
     c = F.col(count_col)
     cols = [x for x in df.columns if x != count_col]
+    if most is not None and most <= fanout:
+        return df.where(c > 0).select(*cols, F.explode(F.sequence(F.lit(1), c.cast("int"))).alias("__rr")).drop("__rr")
     outer = fanout * fanout
 
     def chunk(n, size):

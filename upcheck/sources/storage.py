@@ -16,6 +16,37 @@ from upcheck.session import scratch_path
 
 _TRACKED: list[list[str]] = []
 
+#: Bytes of input for each partition that shuffles of a write begin with (adaptive execution joins small ones), and partitions at most.
+INPUT_A_PARTITION, MOST_PARTITIONS = 4 << 20, 2000
+
+
+def _input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, by Spark's statistics; rows held elsewhere count nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < 1 << 50)
+
+
+@contextmanager
+def write_settings(df: DataFrame) -> Iterator[None]:
+    """Settings for a write of ``df``; the session's come back.
+
+    Shuffles begin with partitions by the size of the input, so a task's memory does
+    not grow with it.  Generated methods stay below what the JVM compiles (8000 bytes):
+    projections of dozens of expressions are otherwise interpreted.
+    """
+    spark, key = df.sparkSession, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    least = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = {key: str(max(least, min(MOST_PARTITIONS, _input_bytes(df) // INPUT_A_PARTITION))), "spark.sql.codegen.hugeMethodLimit": "8000"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
 
 @contextmanager
 def tracked() -> Iterator[list[str]]:
@@ -39,7 +70,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    with write_settings(df):
+        w.save(path)
     return path
 
 
