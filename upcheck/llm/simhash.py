@@ -118,6 +118,8 @@ def within(queries: DataFrame, index: DataFrame, radius: int = 3) -> DataFrame:
     """``(fp, near, docs)``: for each distinct ``fp`` of ``queries`` all of ``index (fp, docs)`` in the radius.
 
     A pair comes from one table only: that of the first block that differs little.
+    Both sides are shuffled: a query has hundreds of variants, which Spark's estimate, made
+    before they are built, leaves out, so that it would send all of them through the driver.
     """
     most, blocks = radius // 3, [(low, high, F.lit(_signed((1 << high) - (1 << low)))) for low, high in zip(EDGES, EDGES[1:])]
     part = lambda mask: F.col("fp").bitwiseAND(mask)
@@ -129,4 +131,4 @@ def within(queries: DataFrame, index: DataFrame, radius: int = 3) -> DataFrame:
     first = F.lit(len(blocks))
     for t, (_, _, mask) in reversed(list(enumerate(blocks))):
         first = F.when(F.bit_count(differ.bitwiseAND(mask)) <= most, t).otherwise(first)
-    return left.join(right, ["t", "key"]).where((F.bit_count(differ) <= radius) & (first == F.col("t"))).select("fp", "near", "docs")
+    return left.hint("merge").join(right, ["t", "key"]).where((F.bit_count(differ) <= radius) & (first == F.col("t"))).select("fp", "near", "docs")
